@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bronzeway.operators.rollup import drop_null_keys
+
 
 def dissolve_parts(df: DataFrame, key: str, parts: str = "parts") -> DataFrame:
     """The distinct lines of each key, one per row: ``key, part``.
@@ -30,7 +32,7 @@ def dissolve_lines(
     size, as a single row must fit in memory; they are its geometry together. NULL
     keys drop, as in every group-by of the reporting side.
     """
-    lines = dissolve_parts(df.dropna(subset=[key]), key, parts)
+    lines = dissolve_parts(drop_null_keys(df, [key]), key, parts)
     sizes = lines.groupBy(F.col(key).alias("_key")).agg(
         F.ceil(F.count("*") / F.lit(max_parts)).alias("_chunks")
     )

@@ -148,9 +148,10 @@ def map_legend(counts: DataFrame, style: str = "mil") -> DataFrame:
 
 def count_table(counts: DataFrame, key: str, classes: int) -> DataFrame:
     """The 15 largest counts with their shade among the rows shown."""
-    top = ranking.top_table(counts, key, v.GOLD_COUNT, v.TOP_TABLE_ROWS, v.COUNT_LABEL)
-    shaded = ranking.classify_equal_width(top, v.COUNT_LABEL, classes)
-    return display_number(shaded, v.COUNT_LABEL, "grouped", "shown")
+    top = ranking.top_table(counts, key, v.GOLD_COUNT, v.TOP_TABLE_ROWS)
+    shaded = ranking.classify_equal_width(top, v.GOLD_COUNT, classes)
+    shown = display_number(shaded, v.GOLD_COUNT, "grouped", "shown")
+    return schema.rename(shown, {v.GOLD_COUNT: v.COUNT_LABEL})
 
 
 def causes(gold: DataFrame) -> DataFrame:

@@ -593,17 +593,16 @@ def geo_dissolve(spark, sf):
 def geojson_lines(spark, sf):
     """Vectors written as line features, read back and dissolved."""
     path = scratch_path(spark, "geojson")
-    places = F.sequence(F.lit(0), F.expr("size(embedding) div 2 - 1"))
     line = F.transform(
-        places,
-        lambda i: F.array(
-            F.element_at("embedding", i * 2 + 1).cast("double"),
-            F.element_at("embedding", i * 2 + 2).cast("double"),
-        ),
+        F.expr("sequence(0, size(embedding) - 2, 2)"),
+        lambda i: F.slice("embedding", i + 1, 2).cast("array<double>"),
     )
     roles.table(spark, sf, "embeddings").select(
         F.lit("Feature").alias("type"),
         F.struct(F.col("label").alias(v.HIGHWAY_DIM_KEY)).alias("properties"),
         F.struct(F.lit("LineString").alias("type"), line.alias("coordinates")).alias("geometry"),
     ).write.json(path)
-    return _dissolved(read_geojson(spark, path, by_line=True), v.HIGHWAY_DIM_KEY)
+    lines = read_geojson(spark, path, by_line=True)
+    return _dissolved(lines, v.HIGHWAY_DIM_KEY).withColumn(
+        v.HIGHWAY_DIM_KEY, F.col(v.HIGHWAY_DIM_KEY).cast("int")
+    )
