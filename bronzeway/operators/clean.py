@@ -61,11 +61,8 @@ def zero_pad_code(
     df: DataFrame, cols: str | Sequence[str], width: int, null_text: str | None = None
 ) -> DataFrame:
     """Text of an integer code, zero-padded; text codes are parsed first."""
-    return _each(
-        df,
-        cols,
-        lambda c: numbers.padded_code(numbers.lenient_int(c.cast("string")), width, null_text),
-    )
+    parsed = _each(df, cols, lambda c: numbers.lenient_int(c.cast("string")))
+    return _each(parsed, cols, lambda c: numbers.padded_code(c, width, null_text))
 
 
 def recode(

@@ -43,7 +43,6 @@ def _normalised() -> dict[str, Column]:
 
 def _typed(fidelity: str) -> dict[str, Column]:
     """Second pass: types and recodes."""
-    missing_highway = "null" if fidelity == REFERENCE else None
     spellings = {
         spelling.lower(): cause
         for cause, listed in v.CAUSE_GROUPS.items()
@@ -53,7 +52,7 @@ def _typed(fidelity: str) -> dict[str, Column]:
         "data_inversa": date_by_shape(
             F.col("data_inversa"), v.DATE_SHAPES, v.DATE_OTHERWISE
         ),
-        "br": padded_code(lenient_int(F.col("br")), v.HIGHWAY_WIDTH, missing_highway),
+        "br": lenient_int(F.col("br")),
         "causa_acidente": lookup(F.col("causa_acidente"), spellings, v.CAUSES_TO_NULL),
         "tipo_acidente": by_rules(F.col("tipo_acidente"), v.TYPE_RULES),
         "condicao_metereologica": lookup(
@@ -64,8 +63,14 @@ def _typed(fidelity: str) -> dict[str, Column]:
     }
 
 
+def _published(fidelity: str) -> dict[str, Column]:
+    """Third pass: text made from typed values."""
+    missing = "null" if fidelity == REFERENCE else None
+    return {"br": padded_code(F.col("br"), v.HIGHWAY_WIDTH, missing)}
+
+
 def to_silver(bronze: DataFrame, fidelity: str = REFERENCE) -> DataFrame:
-    """Cleaned, typed rows, one per accident: two projections, no shuffle.
+    """Cleaned, typed rows, one per accident: projections only, no shuffle.
 
     ``reference`` keeps two oddities of the published data: a highway that is
     missing reads ``null``, and weather other than the recoded values is NULL.
@@ -74,7 +79,9 @@ def to_silver(bronze: DataFrame, fidelity: str = REFERENCE) -> DataFrame:
     if fidelity not in (REFERENCE, CLEAN):
         raise ValueError(f"unknown fidelity: {fidelity}")
     rows = schema.project(bronze, v.SILVER_SOURCE_COLUMNS)
-    rows = schema.clean(schema.clean(rows, _normalised()), _typed(fidelity))
+    # Passes, so that what one computes is a plain column to the next.
+    for rules in (_normalised(), _typed(fidelity), _published(fidelity)):
+        rows = schema.clean(rows, rules)
     return schema.rename(rows, {"data_inversa": "date"})
 
 

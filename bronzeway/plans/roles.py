@@ -150,7 +150,10 @@ RAW = {
         " ELSE cast(cast(l_quantity AS int) AS string) END"
     ),
     "mortos": pick("l_orderkey + l_linenumber", ["0", "0", "0", "1", "2", "(null)", "abc"]),
-    "feridos_leves": pick("l_orderkey", ["0", "1", "2", "3000000000"]),
+    "feridos_leves": (
+        "CASE WHEN l_orderkey % 101 = 0 THEN '3000000000'"
+        " ELSE cast(l_orderkey % 3 AS string) END"
+    ),
     "feridos_graves": pick("l_linenumber", ["0", "1", "-1.9"]),
     "ilesos": pick("l_linenumber", ["0", "1", "2", "N/A"]),
     "ignorados": pick("l_orderkey", ["0", "1", "null"]),

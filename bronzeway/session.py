@@ -16,6 +16,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Wide cleaning projections compile to methods too long for the JVM to
+    # optimise; above this size Spark generates split methods instead.
+    "spark.sql.codegen.hugeMethodLimit": "3000",
     # A partition folder called 007 must come back as text.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     # Accident files name the same column in different cases.
