@@ -60,14 +60,14 @@ def top_n_with_others(
     folded = (
         marked.select(F.coalesce("_rank", F.lit(n + 1)).alias("_rank"), "_label", measure)
         .union(nothing_left)
-        .groupBy("_rank")
-        .agg(F.max("_label").alias(label), F.sum(measure).alias(measure))
+        .groupBy("_rank", "_label")
+        .agg(F.sum(measure).alias(measure))
     )
     # n + 1 rows: the window below is over these alone.
     total = F.sum(measure).over(Window.partitionBy())
     return (
         folded.select(
-            F.when(F.col("_rank") > n, F.lit(others)).otherwise(F.col(label)).alias(label),
+            F.when(F.col("_rank") > n, F.lit(others)).otherwise(F.col("_label")).alias(label),
             measure,
             F.try_divide(F.col(measure), total).alias(share),
             "_rank",
