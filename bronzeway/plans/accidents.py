@@ -186,11 +186,16 @@ def accidents_by_year(gold: DataFrame) -> DataFrame:
 
 
 def dashboard(
-    gold: DataFrame, highways: DataFrame, states: DataFrame, **selected
+    gold: DataFrame, highway_dim: DataFrame, state_dim: DataFrame, **selected
 ) -> Mapping[str, DataFrame]:
-    """Every panel over one selection. Cache the selection to draw several."""
+    """Every panel over one ``selection`` of the gold table.
+
+    Cache the gold table, or the part of it that is often asked for, to draw
+    several panels from it.
+    """
     rows = selection(gold, **selected)
-    highway_counts, state_counts = by_highway(rows, highways), by_state(rows, states)
+    highway_counts = by_highway(rows, highway_dim)
+    state_counts = by_state(rows, state_dim)
     return {
         "cards": cards(rows),
         "highway_map": map_classes(highway_counts),

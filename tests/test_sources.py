@@ -1,0 +1,216 @@
+import json
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
+
+from bronzeway import values as v
+from bronzeway.session import scratch_path
+from bronzeway.sources import bronze, files, geo, tables
+
+
+def rows(df):
+    return [tuple(r) for r in df.collect()]
+
+
+def write_csv(folder, name, header, *lines):
+    path = folder / name
+    text = "\n".join(";".join(x) for x in (header, *lines)) + "\n"
+    path.write_bytes(text.encode("latin-1"))
+    return str(path)
+
+
+@pytest.fixture
+def drifting(tmp_path):
+    """Three deliveries: lean, full, and full in another order and case."""
+    folder = tmp_path / "raw files"
+    folder.mkdir()
+    write_csv(folder, "b2008.csv", ["id", "uf", "km"], ["2", "MG", "1,5"], ["3", "", ""])
+    write_csv(folder, "a2007.csv", ["id", "uf"], ["1", "São Paulo"])
+    write_csv(folder, "c 2009.csv", ["KM", "UOP", "id", "uf"], ["7", "u", "4", "ES"])
+    (folder / "notes.txt").write_text("not a table")
+    return folder
+
+
+def paths(spark, folder):
+    return [r.path for r in files.list_source_files(spark, str(folder)).collect()]
+
+
+def test_discovery_is_sorted_and_takes_csv_only(spark, drifting):
+    found = files.list_source_files(spark, str(drifting)).collect()
+    assert [r.path.rsplit("/", 1)[1] for r in found] == ["a2007.csv", "b2008.csv", "c 2009.csv"]
+    assert found[0].length > 0
+
+
+def test_headers(spark, drifting):
+    headers = files.read_headers(spark, paths(spark, drifting))
+    assert list(headers.values()) == [
+        ("id", "uf"), ("id", "uf", "km"), ("km", "uop", "id", "uf"),
+    ]
+
+
+def test_repeated_header_is_refused(spark, tmp_path):
+    path = write_csv(tmp_path, "x.csv", ["id", "b", "B"], ["1", "2", "3"])
+    with pytest.raises((ValueError, AnalysisException)):
+        files.read_headers(spark, [path])
+
+
+def test_raw_scan_is_text_in_latin_1(spark, drifting):
+    df = files.read_raw_csv(spark, str(drifting / "a2007.csv"))
+    assert rows(df) == [("1", "São Paulo")]
+    assert {t for _, t in df.dtypes} == {"string"}
+
+
+def test_a_schema_that_disagrees_with_the_header_fails(spark, drifting):
+    schema = files.text_schema(["uf", "id"])
+    with pytest.raises(Exception, match="CSV header does not conform|INVALID|header"):
+        files.read_raw_csv(spark, str(drifting / "a2007.csv"), schema).collect()
+
+
+def test_drifting_files_are_read_by_name(spark, drifting):
+    df = files.read_drifting_csv(spark, paths(spark, drifting))
+    assert df.columns == ["id", "uf", v.SOURCE_COLUMN, "km", "uop"]
+    got = sorted(rows(df.select("id", "uf", "km", "uop")))
+    assert got == [
+        ("1", "São Paulo", None, None), ("2", "MG", "1,5", None), ("3", None, None, None),
+        ("4", "ES", "7", "u"),
+    ]
+    by_file = {r[0].rsplit("/", 1)[1]: r[1] for r in rows(df.groupBy(v.SOURCE_COLUMN).count())}
+    assert by_file == {"a2007.csv": 1, "b2008.csv": 2, "c%202009.csv": 1}
+
+
+def test_same_header_shares_a_scan(spark, tmp_path):
+    for i in range(6):
+        write_csv(tmp_path, f"f{i}.csv", ["id", "uf"] if i % 2 else ["uf", "id"], ["1", "x"])
+    df = files.read_drifting_csv(spark, paths(spark, tmp_path))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("csv") == 2
+
+
+def test_ingest_is_idempotent(spark, drifting):
+    table = scratch_path(spark, "t")
+    everything = paths(spark, drifting)
+    bronze.ingest_files(spark, everything[:1], table)
+    assert bronze.read_bronze(spark, table).count() == 1
+    for _ in range(2):
+        bronze.ingest_files(spark, everything, table)
+        got = bronze.read_bronze(spark, table)
+        assert sorted(r.id for r in got.collect()) == ["1", "2", "3", "4"]
+    assert {"id", "uf", "km", "uop", v.SOURCE_COLUMN} == set(got.columns)
+
+
+def test_a_changed_file_replaces_only_its_own_rows(spark, drifting):
+    table = scratch_path(spark, "t")
+    bronze.ingest_files(spark, paths(spark, drifting), table)
+    write_csv(drifting, "b2008.csv", ["id", "uf", "km"], ["20", "MG", "1"])
+    spark.catalog.refreshByPath(str(drifting))
+    bronze.ingest_files(spark, [str(drifting / "b2008.csv")], table)
+    assert sorted(r.id for r in bronze.read_bronze(spark, table).collect()) == ["1", "20", "4"]
+
+
+def test_pending_files(spark, drifting):
+    table = scratch_path(spark, "t")
+    everything = paths(spark, drifting)
+    assert bronze.pending_files(spark, str(drifting), table) == everything
+    bronze.ingest_files(spark, everything[1:], table)
+    assert bronze.pending_files(spark, str(drifting), table) == everything[:1]
+    bronze.ingest_files(spark, everything, table)
+    assert bronze.pending_files(spark, str(drifting), table) == []
+
+
+def test_bronze_create_refuses_to_overwrite(spark, drifting):
+    table = scratch_path(spark, "t")
+    df = files.with_source_file(files.read_raw_csv(spark, str(drifting / "a2007.csv")))
+    bronze.write_bronze(df, table)
+    with pytest.raises(AnalysisException):
+        bronze.write_bronze(df, table)
+    bronze.append_bronze(df.withColumn("extra", F.lit("e")), table)
+    assert sorted(rows(bronze.read_bronze(spark, table).select("id", "extra")), key=str) == [
+        ("1", "e"), ("1", None),
+    ]
+
+
+def test_partition_values_stay_text(spark):
+    path = scratch_path(spark, "t")
+    df = spark.createDataFrame([("1", "007")], f"id string, {v.SOURCE_COLUMN} string")
+    bronze.write_bronze(df, path)
+    assert rows(bronze.read_bronze(spark, path)) == [("1", "007")]
+
+
+def test_table_roundtrip_with_clustering(spark):
+    path = scratch_path(spark, "t")
+    df = spark.range(1000).withColumn("k", F.col("id") % 7)
+    tables.write_table(df, path, cluster_by=["k"])
+    assert sorted(rows(tables.read_table(spark, path))) == sorted(rows(df))
+    narrow = StructType([StructField("k", LongType())])
+    assert tables.read_table(spark, path, schema=narrow).columns == ["k"]
+
+
+def test_cached_keeps_and_releases(spark):
+    df = spark.range(10)
+    with tables.cached(df) as kept:
+        assert kept.is_cached and kept.count() == 10
+    assert not df.is_cached
+
+
+LINES = [
+    ("101", "LineString", [[0, 0], [1, 1.5]]),
+    ("101", "LineString", [[1, 1.5], [0, 0]]),
+    ("116", "MultiLineString", [[[0, 0], [2, 2]], [[3, 3], [4, 4]]]),
+    ("116", "Point", [0, 0]),
+]
+EXPECTED = [
+    ("101", [[[0.0, 0.0], [1.0, 1.5]]]),
+    ("101", [[[1.0, 1.5], [0.0, 0.0]]]),
+    ("116", [[[0.0, 0.0], [2.0, 2.0]], [[3.0, 3.0], [4.0, 4.0]]]),
+    ("116", None),
+]
+
+
+def features():
+    return [
+        {
+            "type": "Feature",
+            "properties": {"vl_br": key},
+            "geometry": {"type": kind, "coordinates": coordinates},
+        }
+        for key, kind, coordinates in LINES
+    ]
+
+
+@pytest.mark.parametrize("by_line", [False, True])
+def test_geojson(spark, tmp_path, by_line):
+    path = tmp_path / "x.json"
+    if by_line:
+        path.write_text("\n".join(json.dumps(f) for f in features()))
+    else:
+        collection = {"type": "FeatureCollection", "features": features()}
+        path.write_text(json.dumps(collection, indent=1))
+    got = geo.read_geojson(spark, str(path), by_line)
+    assert got.columns == ["vl_br", "parts"]
+    assert [(r.vl_br, r.parts) for r in got.collect()] == EXPECTED
+    given = StructType([StructField("vl_br", LongType())])
+    typed = geo.read_geojson(spark, str(path), by_line, given)
+    assert dict(typed.dtypes)["vl_br"] == "bigint"
+
+
+def test_topojson_attributes(spark, tmp_path):
+    document = {
+        "type": "Topology",
+        "arcs": [[[0, 0], [1, 1]]],
+        "objects": {
+            "uf": {
+                "type": "GeometryCollection",
+                "geometries": [
+                    {"type": "Polygon", "arcs": [[0]], "id": "SP", "properties": {"n": "São Paulo"}},
+                    {"type": "Polygon", "arcs": [[0]], "id": "MG", "properties": {"n": "Minas"}},
+                ],
+            }
+        },
+    }
+    path = tmp_path / "uf.json"
+    path.write_text(json.dumps(document))
+    assert sorted(rows(geo.read_topojson_attributes(spark, str(path)))) == [
+        ("MG", "Minas"), ("SP", "São Paulo"),
+    ]
