@@ -40,7 +40,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job == "bronze":
         accidents.load_raw(spark, args.source, args.target, args.only_new)
     elif args.job == "silver":
-        bronze = read_bronze(spark, args.source)
+        bronze = read_bronze(spark, args.source, columns=v.SILVER_SOURCE_COLUMNS)
         write_table(accidents.to_silver(bronze, args.fidelity), args.target)
     elif args.job == "gold":
         gold = accidents.to_gold(read_table(spark, args.source))

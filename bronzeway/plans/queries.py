@@ -354,8 +354,8 @@ def medallion_gold(spark, sf):
     )
     lake = scratch_path(spark, "lake")
     bronze.ingest_files(spark, _delivered(spark, folder), f"{lake}/bronze")
-    silver = accidents.to_silver(bronze.read_bronze(spark, f"{lake}/bronze"))
-    tables.write_table(silver, f"{lake}/silver")
+    rows = bronze.read_bronze(spark, f"{lake}/bronze", columns=v.SILVER_SOURCE_COLUMNS)
+    tables.write_table(accidents.to_silver(rows), f"{lake}/silver")
     gold = accidents.to_gold(tables.read_table(spark, f"{lake}/silver"))
     tables.write_table(gold, f"{lake}/gold", cluster_by=["DATA"])
     return _iso(tables.read_table(spark, f"{lake}/gold"), "DATA")

@@ -19,6 +19,9 @@ SETTINGS = {
     # Wide cleaning projections compile to methods too long for the JVM to
     # optimise; above this size Spark generates split methods instead.
     "spark.sql.codegen.hugeMethodLimit": "3000",
+    # Bronze tasks write to few partitions each: keep these files open instead of
+    # sorting all rows by partition. Beyond this number Spark sorts the rest.
+    "spark.sql.maxConcurrentOutputFileWriters": "4",
     # A partition folder called 007 must come back as text.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     # Accident files name the same column in different cases.
