@@ -1,12 +1,12 @@
 """The pipeline as ``spark-submit`` jobs.
 
-    spark-submit bronzeway/jobs.py bronze  RAW_FOLDER BRONZE [--only-new]
-    spark-submit bronzeway/jobs.py silver  BRONZE SILVER [--fidelity clean]
-    spark-submit bronzeway/jobs.py gold    SILVER GOLD
-    spark-submit bronzeway/jobs.py yearly  GOLD OUT
-    spark-submit bronzeway/jobs.py profile RAW_FOLDER OUT
-    spark-submit bronzeway/jobs.py sample  BRONZE OUT
-    spark-submit bronzeway/jobs.py columns RAW_FOLDER OUT
+    spark-submit --py-files bronzeway.zip bronzeway/jobs.py bronze  RAW_FOLDER BRONZE [--only-new]
+    spark-submit --py-files bronzeway.zip bronzeway/jobs.py silver  BRONZE SILVER [--fidelity clean]
+    spark-submit --py-files bronzeway.zip bronzeway/jobs.py gold    SILVER GOLD
+    spark-submit --py-files bronzeway.zip bronzeway/jobs.py yearly  GOLD OUT
+    spark-submit --py-files bronzeway.zip bronzeway/jobs.py profile RAW_FOLDER OUT
+    spark-submit --py-files bronzeway.zip bronzeway/jobs.py sample  BRONZE OUT
+    spark-submit --py-files bronzeway.zip bronzeway/jobs.py columns RAW_FOLDER OUT
 
 Paths may be object-store URIs; the connector's options go to ``spark-submit``.
 """

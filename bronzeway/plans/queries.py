@@ -43,15 +43,15 @@ def query(make: Query) -> Query:
 
 
 def _silver(spark, sf, *columns):
-    return roles.frame(spark, sf, roles.SILVER, columns or None)
+    return roles.frame(spark, sf, roles.SILVER, columns or None, heavy=True)
 
 
 def _gold(spark, sf, *columns):
     return roles.frame(spark, sf, roles.GOLD, columns or None)
 
 
-def _raw(spark, sf, *columns):
-    return roles.frame(spark, sf, roles.RAW, columns or None)
+def _raw(spark, sf, *columns, heavy=False):
+    return roles.frame(spark, sf, roles.RAW, columns or None, heavy)
 
 
 def _orders(spark, sf):
@@ -140,7 +140,7 @@ def multi_format_date(spark, sf):
 @query
 def decimal_comma(spark, sf):
     rows = clean.replace_null_tokens(
-        _raw(spark, sf, "id", *v.FLOAT_COLUMNS), v.FLOAT_COLUMNS
+        _raw(spark, sf, "id", *v.FLOAT_COLUMNS, heavy=True), v.FLOAT_COLUMNS
     )
     return clean.parse_decimal_comma(rows, v.FLOAT_COLUMNS)
 
@@ -148,7 +148,7 @@ def decimal_comma(spark, sf):
 @query
 def safe_int(spark, sf):
     rows = clean.replace_null_tokens(
-        _raw(spark, sf, "id", *v.COUNT_COLUMNS), v.COUNT_COLUMNS
+        _raw(spark, sf, "id", *v.COUNT_COLUMNS, heavy=True), v.COUNT_COLUMNS
     )
     return clean.parse_int(rows, v.COUNT_COLUMNS)
 
@@ -202,12 +202,12 @@ def partial_recode(spark, sf):
 
 @query
 def silver_clean(spark, sf):
-    return _iso(accidents.to_silver(_raw(spark, sf)), "date")
+    return _iso(accidents.to_silver(_raw(spark, sf, heavy=True)), "date")
 
 
 @query
 def silver_clean_strict(spark, sf):
-    silver = accidents.to_silver(_raw(spark, sf), accidents.CLEAN)
+    silver = accidents.to_silver(_raw(spark, sf, heavy=True), accidents.CLEAN)
     return silver.select("id", "br", "condicao_metereologica", "causa_acidente")
 
 
@@ -340,7 +340,7 @@ def described_columns(spark, sf):
 @query
 def medallion_gold(spark, sf):
     """Drifting source files to bronze, silver and gold, each layer stored."""
-    raw = roles.frame(spark, sf, {**roles.RAW, "_year": "year(l_shipdate)"})
+    raw = roles.frame(spark, sf, {**roles.RAW, "_year": "year(l_shipdate)"}, heavy=True)
     year = F.col("_year")
     lean = [c for c in v.RAW_COLUMNS if c not in v.RAW_COLUMNS[-5:]]
     turned = [F.col(c).alias("UOP" if c == "uop" else c) for c in reversed(v.RAW_COLUMNS)]
@@ -366,7 +366,9 @@ def medallion_gold(spark, sf):
 
 @query
 def profile_number_formats(spark, sf):
-    return accidents.format_profile(_raw(spark, sf, *v.FORMAT_PROFILE_COLUMNS))
+    return accidents.format_profile(
+        _raw(spark, sf, *v.FORMAT_PROFILE_COLUMNS, heavy=True)
+    )
 
 
 @query

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bronzeway import values as v
+from bronzeway.sources.tables import spread
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -198,9 +199,13 @@ def frame(
     folder: str,
     roles: dict[str, str],
     columns: Sequence[str] | None = None,
+    heavy: bool = False,
 ) -> DataFrame:
+    """``heavy`` spreads a small table over all cores for costly expressions."""
     chosen = {c: roles[c] for c in columns or roles}
     rows = table(spark, folder, "lineitem")
+    if heavy:
+        rows = spread(rows)
     for name, condition in _joins(list(chosen.values())):
         rows = rows.join(table(spark, folder, name), F.expr(condition))
     return rows.selectExpr(*(f"{expr} AS {name}" for name, expr in chosen.items()))
