@@ -163,7 +163,7 @@ RAW = {
     "latitude": "'-23,' || cast(l_orderkey % 1000 AS string)",
     "longitude": "CASE WHEN l_orderkey % 7 = 0 THEN 'null'"
                  " ELSE '-46.' || cast(l_partkey % 1000 AS string) END",
-    "regional": "'SPRF-' || cast(l_suppkey % 27 AS string)",
+    "regional": "'REG-' || cast(l_suppkey % 27 AS string)",
     "delegacia": "'DEL' || cast(l_suppkey % 9 AS string)",
     "uop": "'UOP' || cast(l_suppkey % 5 AS string)",
 }
