@@ -18,7 +18,7 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # Wide cleaning projections compile to methods too long for the JVM to
     # optimise; above this size Spark generates split methods instead.
-    "spark.sql.codegen.hugeMethodLimit": "3000",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Bronze tasks write to few partitions each: keep these files open instead of
     # sorting all rows by partition. Beyond this number Spark sorts the rest.
     "spark.sql.maxConcurrentOutputFileWriters": "4",
