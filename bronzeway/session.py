@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -58,10 +57,13 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the folder the cluster shares (``spark.checkpoint.dir``).
 
-    Only a session without that setting, such as a test, gets a local folder.
+    Only a local session may leave that setting out; it then gets a folder beside
+    its warehouse. On a cluster a missing setting is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="bronzeway-")
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "-scratch"
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/bronzeway/{name}-{uuid.uuid4().hex}"
