@@ -9,6 +9,7 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from bronzeway.session import scratch_path
 
@@ -44,6 +45,12 @@ def fresh(wanted: str, taken: Iterable[str]) -> str:
     return wanted
 
 
+def with_fields(df: DataFrame, **types: str) -> StructType:
+    """Schema of ``df`` with columns behind it, given as name and type text."""
+    added = StructType.fromDDL(", ".join(f"`{n}` {t}" for n, t in types.items()))
+    return StructType(df.schema.fields + added.fields)
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z to a-z; other letters stay."""
     capitals = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"

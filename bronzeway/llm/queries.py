@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bronzeway.llm import urls
+from bronzeway.llm import spm, urls
 from bronzeway.llm.common import ready
 from bronzeway.sources.tables import read_table
 
@@ -64,3 +64,23 @@ best AS (SELECT n, arg_max(rhost || rpath, length(rhost || rpath)) AS rule,
 SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict
 FROM parts LEFT JOIN best USING (n)
 """
+
+
+# --- 9 -----------------------------------------------------------------------
+
+
+def encoded_digest(docs: DataFrame) -> DataFrame:
+    """Counts, flags and a digest of the ids, which stay on the executors."""
+    rows = spm.encode(docs.select("doc_id", "text"), spm.read_model())
+    return rows.select(
+        "doc_id",
+        F.size("ids").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", "ids"), 256).alias("ids_sha256"),
+        (F.col("decoded") == F.col("text")).alias("round_trip"),
+        "parity",
+    )
+
+
+@query
+def op9_sentencepiece(spark, sf):
+    return encoded_digest(table(spark, sf, "documents"))
