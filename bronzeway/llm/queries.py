@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bronzeway.llm import spm, urls
+from bronzeway.llm import quality, spm, urls
 from bronzeway.llm.common import ready
 from bronzeway.sources.tables import read_table
 
@@ -84,3 +84,12 @@ def encoded_digest(docs: DataFrame) -> DataFrame:
 @query
 def op9_sentencepiece(spark, sf):
     return encoded_digest(table(spark, sf, "documents"))
+
+
+# --- 10 ----------------------------------------------------------------------
+
+
+@query
+def op10_quality(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    return quality.measure(docs).drop("text", "lang")
