@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bronzeway.llm import quality, spm, urls
-from bronzeway.llm.common import ready
+from bronzeway.llm import quality, spm, urls, warc
+from bronzeway.llm.common import ready, stored
 from bronzeway.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,3 +93,24 @@ def op9_sentencepiece(spark, sf):
 def op10_quality(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
     return quality.measure(docs).drop("text", "lang")
+
+
+# --- 6 -----------------------------------------------------------------------
+
+
+@query
+def op6_warc(spark, sf):
+    planned = warc.plan_records(table(spark, sf, "pages"))
+    archives = stored(warc.normalise(warc.write_monolithic(planned)), "warc")
+    return warc.read_records(archives, payload=False).drop("url")
+
+
+ORACLES["op6_warc"] = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes,
+    sha1(coalesce(html, '')) AS payload_digest FROM pages),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> first THEN first END AS refers_to
+FROM m
+"""
