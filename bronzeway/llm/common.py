@@ -13,9 +13,6 @@ from pyspark.sql.types import StructType
 
 from bronzeway.session import scratch_path
 
-#: Output rows are handed back to Spark in pieces of about so many bytes.
-PIECE_BYTES = 8 << 20
-
 
 def ready(spark: SparkSession) -> SparkSession:
     """Let Python workers on this machine import the package, as ``--py-files`` does elsewhere."""

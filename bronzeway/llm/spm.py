@@ -16,11 +16,13 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from bronzeway.llm.common import PIECE_BYTES, with_fields
+from bronzeway.llm.common import with_fields
 
 #: Public model on every machine of the sandbox; a parameter everywhere.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 THREADS = 2
+#: Characters encoded at once: the library holds about 200 bytes for each token.
+SLICE_CHARS = 1 << 18
 MARK = "▁"
 # Kinds of pieces and models in the model's protobuf (fixed values).
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -108,10 +110,10 @@ def _both(model: bytes, threads: int):
 
 
 def _slices(texts: list[str]) -> Iterator[list[int]]:
-    """Positions in runs of a few MB of text; a longer text is alone."""
+    """Positions in runs of up to SLICE_CHARS of text; a longer text is alone."""
     at, size = [], 0
     for i, text in enumerate(texts):
-        if at and size + len(text) > PIECE_BYTES // 2:
+        if at and size + len(text) > SLICE_CHARS:
             yield at
             at, size = [], 0
         at.append(i)
@@ -158,6 +160,7 @@ def encode(
                     [texts[i] for i in full], add_special_tokens=False
                 )
                 ids = [e.ids for e in encoded]
+                del encoded
                 back = tokenizer.decode_batch(ids, skip_special_tokens=False)
                 found = dict(zip(full, zip(ids, back)))
                 parity = []
