@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bronzeway.llm import quality, spm, urls, warc
+from bronzeway.llm import jaccard, quality, spm, urls, warc
 from bronzeway.llm.common import ready, stored
 from bronzeway.sources.tables import read_table
 
@@ -114,3 +114,31 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN payload_bytes >= 1000 AND page_id <> first THEN first END AS refers_to
 FROM m
 """
+
+
+# --- 8 -----------------------------------------------------------------------
+
+
+@query
+def op8_jaccard_join(spark, sf):
+    return jaccard.link_components(table(spark, sf, "documents"), n=4, percent=85)
+
+
+ORACLES["op8_jaccard_join"] = r"""
+WITH RECURSIVE w AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT r, unnest(list_distinct(CASE WHEN len(ws) = 0 THEN []
+    WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' ')) END)) AS g FROM w),
+h AS (SELECT r, hash(g) AS g FROM s),
+n AS (SELECT r, count(*) AS n FROM h GROUP BY r),
+p AS (SELECT a.r AS x, b.r AS y, count(*) AS k FROM h a JOIN h b ON a.g = b.g AND a.r < b.r GROUP BY ALL),
+l AS (SELECT x, y FROM p JOIN n na ON na.r = x JOIN n nb ON nb.r = y
+  WHERE 100 * k >= 85 * (na.n + nb.n - k)),
+e AS (SELECT x, y FROM l UNION SELECT y, x FROM l),
+c(r, o) AS (SELECT r, r FROM w UNION SELECT c.r, e.y FROM c JOIN e ON e.x = c.o)
+SELECT w.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(v.doc_id) AS component_id
+FROM w JOIN c ON c.r = w.r JOIN w v ON v.r = c.o LEFT JOIN n ON n.r = w.r
+GROUP BY w.r, w.doc_id
+"""
