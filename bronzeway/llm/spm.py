@@ -43,11 +43,12 @@ def _merges(pieces) -> list[tuple[str, str]]:
     return [(left, right) for *_, left, right in sorted(ranked)]
 
 
-def build_tokenizer(model: bytes):
+def build_tokenizer(model: bytes, by_word: bool = False):
     """The ``tokenizers`` pipeline that encodes and decodes as ``model`` does.
 
     Unigram and BPE models are known. User-defined pieces are refused, as they
-    are matched ahead of the model.
+    are matched ahead of the model. ``by_word`` encodes word by word: slower, with
+    the same ids, in memory that doesn't grow with the text; for long texts.
     """
     from sentencepiece import sentencepiece_model_pb2
     from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
@@ -86,7 +87,7 @@ def build_tokenizer(model: bytes):
     tokenizer.normalizer = normalizers.Sequence(steps)
     # Where no piece has the marker behind another character, no piece crosses
     # the place in front of a run of markers: words may be encoded one by one.
-    if not any(MARK in p.piece.lstrip(MARK) for p in pieces):
+    if by_word and not any(MARK in p.piece.lstrip(MARK) for p in pieces):
         words = Regex(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
         tokenizer.pre_tokenizer = pre_tokenizers.Split(words, "isolated")
     undo = [decoders.Replace(MARK, " ")]
@@ -100,13 +101,17 @@ def build_tokenizer(model: bytes):
 
 
 @lru_cache(maxsize=2)
-def _both(model: bytes, threads: int):
+def _pipelines(model: bytes, threads: int):
     # Read by the library when it first starts its threads in this worker.
     os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads > 1 else "false"
     os.environ["RAYON_NUM_THREADS"] = str(threads)
     import sentencepiece
 
-    return build_tokenizer(model), sentencepiece.SentencePieceProcessor(model_proto=model)
+    return (
+        build_tokenizer(model),
+        build_tokenizer(model, by_word=True),
+        sentencepiece.SentencePieceProcessor(model_proto=model),
+    )
 
 
 def _slices(texts: list[str]) -> Iterator[list[int]]:
@@ -151,12 +156,13 @@ def encode(
     shipped = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        tokenizer, original = _both(shipped.value, threads)
+        tokenizer, worded, original = _pipelines(shipped.value, threads)
         for batch in batches:
             texts = batch.column(text).to_pylist()
             for at in _slices([t or "" for t in texts]):
                 full = [i for i in at if texts[i] is not None]
-                encoded = tokenizer.encode_batch_fast(
+                long = len(full) == 1 and len(texts[full[0]]) > SLICE_CHARS
+                encoded = (worded if long else tokenizer).encode_batch_fast(
                     [texts[i] for i in full], add_special_tokens=False
                 )
                 ids = [e.ids for e in encoded]
