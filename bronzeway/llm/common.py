@@ -209,7 +209,7 @@ def _column(values: np.ndarray) -> pa.Array:
         data = pa.py_buffer(np.ascontiguousarray(values).tobytes())
         fixed = pa.Array.from_buffers(pa.binary(width), len(values), [None, data])
         return fixed.cast(pa.binary())
-    return pa.array(np.ascontiguousarray(values))
+    return pa.array(values.astype(np.int64) if values.dtype.kind in "ui" else values)
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bronzeway.llm import jaccard, quality, spm, urls, warc
+from bronzeway.llm import jaccard, quality, spm, suffixes, urls, warc
 from bronzeway.llm.common import ready, stored
 from bronzeway.sources.tables import read_table
 
@@ -142,3 +142,14 @@ SELECT w.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(v.doc_id) AS com
 FROM w JOIN c ON c.r = w.r JOIN w v ON v.r = c.o LEFT JOIN n ON n.r = w.r
 GROUP BY w.r, w.doc_id
 """
+
+
+# --- 4 -----------------------------------------------------------------------
+
+
+@query
+def op4_suffix_array(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return suffixes.remove_repeats(docs).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"
+    )
