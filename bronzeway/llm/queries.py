@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bronzeway.llm import jaccard, quality, spm, suffixes, urls, warc
+from bronzeway.llm import decontam, jaccard, quality, spans, spm, suffixes, urls, warc
 from bronzeway.llm.common import ready, stored
 from bronzeway.sources.tables import read_table
 
@@ -153,3 +153,22 @@ def op4_suffix_array(spark, sf):
     return suffixes.remove_repeats(docs).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"
     )
+
+
+# --- 1 -----------------------------------------------------------------------
+
+
+@query
+def op1_sentence_spans(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return spans.remove_repeated_spans(docs).select(
+        "doc_id", "n_sentences", "n_removed", F.sha2("kept", 256).alias("kept_sha256"), "kept"
+    )
+
+
+# --- 5 -----------------------------------------------------------------------
+
+
+@query
+def op5_decontamination(spark, sf):
+    return decontam.matches(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
