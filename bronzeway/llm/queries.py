@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bronzeway.llm import decontam, jaccard, quality, spans, spm, suffixes, urls, warc
+from bronzeway.llm import decontam, html, jaccard, quality, spans, spm, suffixes, urls, warc
 from bronzeway.llm.common import ready, stored
 from bronzeway.sources.tables import read_table
 
@@ -172,3 +172,11 @@ def op1_sentence_spans(spark, sf):
 @query
 def op5_decontamination(spark, sf):
     return decontam.matches(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+# --- 3 -----------------------------------------------------------------------
+
+
+@query
+def op3_html_text(spark, sf):
+    return html.extract_text(table(spark, sf, "pages")).select("page_id", "url", "text", "n_chars")

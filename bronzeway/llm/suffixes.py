@@ -197,17 +197,19 @@ def merge_runs(runs: list[bytes]) -> Iterator[tuple[bytes, int, bytes]]:
 
 
 def repeated_windows(
-    merged: Iterable[tuple[bytes, int, bytes]], length: int, gram: int
+    merged: Iterable[tuple[bytes, int, bytes]], length: int, gram: int, across: bool = False
 ) -> Iterator[tuple[int, int]]:
     """(position in the merged order, bytes left of the anchor) of windows that occur twice.
 
     A tag holds the number of windows (u2), HEAD - 2 bytes that tell the suffix
     apart, and the bytes left of the anchor. Two suffixes share a window with ``left`` bytes before the anchor if they agree in
-    ``length - left`` bytes from it and in ``left`` before it.
+    ``length - left`` bytes from it and in ``left`` before it. With ``across`` the
+    two must be in different texts.
     """
-    right, lefts, lowest = [], [], []
+    right, lefts, lowest, texts = [], [], [], []
     for _, shared, tag in merged:
         right.append(shared)
+        texts.append(tag[2:10])
         left = tag[HEAD:]
         lowest.append(len(left) - int.from_bytes(tag[:2], "little") + 1)
         lefts.append(left[::-1])
@@ -216,6 +218,7 @@ def repeated_windows(
         return
     right = np.array(right)
     right[0] = 0
+    text_number = np.unique(np.array(texts, "S8"), return_inverse=True)[1] if across else None
     most = np.array([len(x) for x in lefts])
     lowest = np.array(lowest)
     group = np.cumsum(right < gram)
@@ -237,9 +240,11 @@ def repeated_windows(
             continue
         by_right = np.cumsum(right < length - left)[inside]
         by_left = np.cumsum(new_group | (shared < left))[at_order[inside]]
-        _, which, counts = np.unique(
-            by_right * np.int64(n + 1) + by_left, return_inverse=True, return_counts=True
-        )
+        pair = by_right * np.int64(n + 1) + by_left
+        _, which, counts = np.unique(pair, return_inverse=True, return_counts=True)
+        if across:  # count texts
+            once = np.unique(which * np.int64(n) + text_number[inside]) // n
+            counts = np.bincount(once, minlength=len(counts))
         for i in inside[counts[which] > 1].tolist():
             yield i, left
 
@@ -274,7 +279,7 @@ def candidates(texts: DataFrame, length: int, gram: int) -> DataFrame:
     ).drop("first")
 
 
-def sorted_windows(wanted: DataFrame, length: int, gram: int) -> DataFrame:
+def sorted_windows(wanted: DataFrame, length: int, gram: int, across: bool) -> DataFrame:
     """(who, start, n): repeated windows among the suffixes in ``wanted``.
 
     ``wanted`` has short, text and segments (key, start, count, left). Suffixes
@@ -319,7 +324,7 @@ def sorted_windows(wanted: DataFrame, length: int, gram: int) -> DataFrame:
                 buckets.setdefault(bucket, []).append(run)
         for bucket in sorted(buckets):
             merged = list(merge_runs(buckets.pop(bucket)))
-            found = np.array(list(repeated_windows(merged, length, gram)), np.int64).reshape(-1, 2)
+            found = np.array(list(repeated_windows(merged, length, gram, across)), np.int64).reshape(-1, 2)
             if not len(found):
                 continue
             # Neighbouring windows of a suffix as one span.
@@ -341,7 +346,7 @@ def sorted_windows(wanted: DataFrame, length: int, gram: int) -> DataFrame:
     return handed.repartition("bucket").mapInArrow(merge, "who bigint, start bigint, n bigint")
 
 
-def counted_windows(wanted: DataFrame, length: int) -> DataFrame:
+def counted_windows(wanted: DataFrame, length: int, across: bool) -> DataFrame:
     """(who, start, n): repeated windows of the suffixes in ``wanted``, by their hashes."""
     kind = np.dtype([("who", "<u8"), ("start", "<u4")])
 
@@ -362,17 +367,23 @@ def counted_windows(wanted: DataFrame, length: int) -> DataFrame:
         kind,
         "key bigint, first bigint, who bigint, start bigint",
     )
+    if across:
+        wide = found.groupBy("key").agg(F.min("who").alias("a"), F.max("who").alias("b"))
+        found = found.join(wide.filter("a <> b").select("key"), "key")
     return found.select("who", "start", F.lit(1).cast("bigint").alias("n"))
 
 
-def covered_spans(rows: DataFrame, texts: DataFrame, length: int, gram: int, limit: int) -> DataFrame:
+def covered_spans(
+    rows: DataFrame, texts: DataFrame, length: int, gram: int, limit: int, across: bool = False
+) -> DataFrame:
     """(short, spans) of the texts with repeated windows: arrays of (start, n) windows.
 
-    ``rows`` has short and text of every row, ``texts`` one row of each text.
+    ``rows`` has short and text of every row, ``texts`` one row of each text. With
+    ``across`` a window counts as repeated only if another text has it.
     """
     found = stored(candidates(rows, length, gram), "anchors")
     kinds = found.groupBy("key", "segment").agg(
-        F.count("*").alias("m"), F.min(F.struct("who", "start", "count", "left")).alias("one")
+        (F.count_distinct("who") if across else F.count("*")).alias("m"), F.min(F.struct("who", "start", "count", "left")).alias("one")
     )
     kinds = stored(kinds, "segments")
     classes = kinds.groupBy("key").agg(F.min("m").alias("least"), F.count("*").alias("n_kinds"))
@@ -395,8 +406,8 @@ def covered_spans(rows: DataFrame, texts: DataFrame, length: int, gram: int, lim
     wanted = texts.join(lists, "short")
     counted = wanted.filter(F.size("large") > 0).select("short", "text", F.col("large").alias("segments"))
     spans = (
-        whole.union(sorted_windows(wanted, length, gram))
-        .union(counted_windows(counted, length))
+        whole.union(sorted_windows(wanted, length, gram, across))
+        .union(counted_windows(counted, length, across))
         .distinct()
     )
     return spans.groupBy(F.col("who").alias("short")).agg(
