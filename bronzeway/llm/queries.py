@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bronzeway.llm import decontam, html, jaccard, quality, spans, spm, suffixes, urls, warc
+from bronzeway.llm import decontam, html, jaccard, licences, quality, spans, spm, suffixes, urls, warc
 from bronzeway.llm.common import ready, stored
 from bronzeway.sources.tables import read_table
 
@@ -180,3 +180,18 @@ def op5_decontamination(spark, sf):
 @query
 def op3_html_text(spark, sf):
     return html.extract_text(table(spark, sf, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+# --- 7 -----------------------------------------------------------------------
+
+
+@query
+def op7_licence_scan(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    scanned = licences.scan(docs, licences.train(docs))
+    return scanned.select(
+        "doc_id",
+        F.size("licences").alias("n_licences"),
+        F.array_join(F.array_sort(F.array_distinct("licences.family")), " ").alias("families"),
+        "licences",
+    )
