@@ -113,7 +113,7 @@ def repeated_keys(
     each task's share, and all entries move once, packed. ``first`` is ``who``
     of an entry all entries of the key hang together by.
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 8
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 2
     packed = np.dtype([("key", "<u8"), ("more", "u1"), ("first", payload["who"]), *payload.descr])
     # An entry that leads its key is its own first; one that passes has others.
     lead_names = ["key", "more", *payload.names]
