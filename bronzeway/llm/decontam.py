@@ -8,7 +8,6 @@ diagonals; bands that reach the bound are verified by banded alignment.
 
 from __future__ import annotations
 
-import re
 from typing import NamedTuple
 
 import numpy as np
@@ -25,13 +24,12 @@ EDIT_RATE = 0.1
 SHARD_CHARS = 4 << 20
 #: Characters of documents that are looked at together.
 CHUNK_CHARS = 1 << 20
-_SPACE = re.compile(r"\s+")
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def plain(text: str | None) -> str:
     """Lower case, with runs of white space as one space; NULL is empty."""
-    return _SPACE.sub(" ", (text or "").lower()).strip()
+    return " ".join((text or "").lower().split())
 
 
 def codes(text: str) -> np.ndarray:
@@ -89,12 +87,15 @@ def build_index(rows: list[tuple], q: int, rate: float) -> Index:
     )
 
 
-def bands_of(index: Index, chars: np.ndarray, starts: np.ndarray, q: int) -> list[tuple[int, int, int]]:
-    """(document, item, first diagonal) of bands that reach their item's bound.
+def bands_of(
+    index: Index, chars: np.ndarray, starts: np.ndarray, q: int
+) -> list[tuple[int, int, int, int]]:
+    """(document, item, first and last diagonal) of regions that reach their item's bound.
 
     ``chars`` holds documents one behind the other, at ``starts``. A band has
     ``width`` diagonals and as many more as the item's budget: it shares these
-    with the next one, so any budget of diagonals lies within one band.
+    with the next one, so any budget of diagonals lies within one band. Bands that
+    reach the bound are cut to the diagonals that reach it within a budget.
     """
     hashes = gram_hashes(chars, q)
     at = np.flatnonzero(index.filled[hashes & np.uint64(len(index.filled) - 1)])
@@ -118,14 +119,32 @@ def bands_of(index: Index, chars: np.ndarray, starts: np.ndarray, q: int) -> lis
     low = diagonal % width < index.budget[item]
     n = np.int64(len(index.items))
     keys = np.concatenate([band * n + item, (band[low] - 1) * n + item[low]])
-    keys, counts = np.unique(keys, return_counts=True)
-    keys = keys[counts >= index.least[keys % n]]
-    first = keys // n * width
-    shift = starts + (np.arange(len(starts)) + 1) * gap
-    # A band may begin before its document: go by its last diagonal.
-    doc = np.searchsorted(shift - longest, first + width - 1, "right") - 1
-    doc = np.clip(doc, 0, len(starts) - 1)
-    return list(zip(doc.tolist(), (keys % n).tolist(), (first - shift[doc]).tolist()))
+    found, counts = np.unique(keys, return_counts=True)
+    found = found[counts >= index.least[found % n]]
+    if not len(found):
+        return []
+    kept = np.searchsorted(found, keys)
+    kept[kept == len(found)] = 0
+    kept = np.flatnonzero(found[kept] == keys)
+    keys = keys[kept]
+    source = np.concatenate([np.arange(len(item)), np.flatnonzero(low)])[kept]
+    diagonal, doc = diagonal[source], doc[which[source]]
+    order = np.lexsort((diagonal, keys))
+    keys, diagonal, doc = keys[order], diagonal[order], doc[order]
+    edges = np.append(np.flatnonzero(np.diff(keys, prepend=-1)), len(keys))
+    regions = set()
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        i = int(keys[a] % n)
+        budget = int(index.budget[i])
+        own = diagonal[a:b]
+        reach = np.searchsorted(own, own + budget, "right") - np.arange(b - a)
+        full = np.flatnonzero(reach >= index.least[i])
+        if len(full):
+            first = int(own[full[0]])
+            last = int(own[full[-1]]) + budget
+            shift = int(starts[doc[a]]) + (int(doc[a]) + 1) * gap
+            regions.add((int(doc[a]), i, first - shift, last - shift))
+    return sorted(regions)
 
 
 def align(
@@ -162,12 +181,11 @@ def find(index: Index, texts: list[str], q: int) -> list[tuple[int, object, int,
     starts = np.cumsum([0] + [len(c) for c in chars[:-1]])
     if not len(index.ids) or not sum(map(len, chars)):
         return []
-    width = 1 << int(index.budget.max()).bit_length()
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
-    for doc, i, low in bands_of(index, np.concatenate(chars), starts, q):
+    for doc, i, low, high in bands_of(index, np.concatenate(chars), starts, q):
         budget = int(index.budget[i])
         item, text = index.items[i], chars[doc]
-        edits, end = align(item, text, low - budget, low + width + 2 * budget)
+        edits, end = align(item, text, low - budget, high + budget)
         if edits > budget:
             continue
         # The start is where the reversed item ends in the reversed text.
