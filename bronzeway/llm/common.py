@@ -93,7 +93,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 #: Keys that a task gathers before it hands them out.
-GATHERED = 1 << 20
+GATHERED = 1 << 18
 
 
 def repeated_keys(
