@@ -96,13 +96,16 @@ def words(text: Column) -> Column:
 
 
 def bins(tokens: Column) -> Column:
-    """Distinct bins of the words and word pairs."""
+    """Bins of the words and word pairs; ``tokens`` should be a plain column or field.
+
+    Lambdas work out anew what they refer to for each element.
+    """
     pairs = F.transform(
         F.slice(tokens, 2, F.greatest(F.size(tokens) - 1, F.lit(0))),
         lambda w, i: F.pmod(F.xxhash64(F.get(tokens, i), w), F.lit(BINS)).cast("int"),
     )
     singles = F.transform(tokens, lambda w: F.pmod(F.xxhash64(w), F.lit(BINS)).cast("int"))
-    return F.array_distinct(F.concat(singles, pairs))
+    return F.concat(singles, pairs)
 
 
 def paragraphs(text: Column) -> Column:
@@ -165,9 +168,11 @@ def train(docs: DataFrame, text: str = "text", sample_docs: int = SAMPLE_DOCS) -
         enumerate(classes),
         F.when(F.lit(False), 0.0),
     )
+    # A bounded sample: two partitions keep the many small steps of the fit short.
+    rows = rows.coalesce(2).withColumn("tokens", words(F.col("paragraph")))
     rows = rows.select(
         number.alias("label"),
-        F.transform(bins(words(F.col("paragraph"))), lambda b: b.cast("string")).alias("bins"),
+        F.transform(F.array_distinct(bins(F.col("tokens"))), lambda b: b.cast("string")).alias("bins"),
         (F.pmod(F.xxhash64("paragraph"), F.lit(5)) == 0).alias("held_out"),
         F.when(F.col("label") == NONE, 1.0).otherwise(4.0).alias("weight"),
     ).persist()
@@ -243,12 +248,18 @@ def scan(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     )
     names = F.array(*map(F.lit, model.classes))
 
-    def judge(paragraph: Column, at: Column) -> Column:
-        tokens = words(paragraph)
-        found = F.filter(
-            F.transform(bins(tokens), lambda b: F.get(slots, b)), lambda slot: slot >= 0
+    def read(paragraph: Column, at: Column) -> Column:
+        return F.struct(at.alias("paragraph"), words(paragraph).alias("tokens"))
+
+    def look_up(entry: Column) -> Column:
+        known = F.filter(
+            F.transform(bins(entry["tokens"]), lambda b: F.get(slots, b)), lambda slot: slot >= 0
+        )
+        return F.struct(
+            entry["paragraph"].alias("paragraph"),
+            entry["tokens"].alias("tokens"),
+            F.array_distinct(known).alias("found"),
         )
-        return F.struct(at.alias("paragraph"), tokens.alias("tokens"), found.alias("found"))
 
     def logits(found: Column) -> Column:
         return F.array(
@@ -285,7 +296,7 @@ def scan(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             F.round(probability, 4).alias("probability"),
         )
 
-    parts = F.transform(paragraphs(F.coalesce(text, F.lit(""))), judge)
+    parts = F.transform(F.transform(paragraphs(F.coalesce(text, F.lit(""))), read), look_up)
     # Paragraphs without any n-gram that has a weight are what the bias says: none.
     scored = F.transform(F.filter(parts, lambda p: F.size(p["found"]) > 0), decide)
     likely = F.filter(scored, lambda p: F.element_at(p["raw"], k) < F.array_max(p["raw"]))
