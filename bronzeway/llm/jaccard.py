@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bronzeway.llm.common import components, fresh, mix64, repeated_keys, row_mapper, stored
+from bronzeway.llm.common import components, mix64, repeated_keys, row_mapper, stored
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 CAPITALS = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -204,6 +204,26 @@ def candidate_edges(texts: DataFrame, n: int, percent: int) -> DataFrame:
     return shared.filter("who <> first").select(F.col("who").alias("a"), F.col("first").alias("b"))
 
 
+def _rows(docs: DataFrame, text: str, id: str) -> DataFrame:
+    """(id, text, node) of every row; the node is the text's key."""
+    return docs.select(
+        F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")
+    ).withColumn("node", F.xxhash64("text"))
+
+
+def _placed(rows: DataFrame, n: int, percent: int) -> DataFrame:
+    """(id, node, n_shingles, root) of every row; the root is a node of its component."""
+    # Of equal texts one goes on; the first aggregation drops copies before the shuffle.
+    texts = rows.select("node", "text").dropDuplicates(["node"])
+    edges = candidate_edges(rows.select("node", "text"), n, percent)
+    family = components(edges).withColumnRenamed("root", "family")
+    members = stored(texts.join(family, "node"), "members")
+    linked = verified_edges(members, n, percent)
+    root = components(linked.select("a", "b")).select("node", "root")
+    sizes = stored(_sizes(rows.select("id", "node", "text"), n), "sizes")
+    return sizes.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
 def link_components(
     docs: DataFrame,
     text: str = "text",
@@ -221,27 +241,43 @@ def link_components(
     Other columns of ``docs`` are left out. Texts are told apart by 64-bit hashes:
     two among a billion are confused with probability 1/37.
     """
-    rows = docs.select(
-        F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")
-    ).withColumn("node", F.xxhash64("text"))
-
-    # Of equal texts one goes on; the first aggregation drops copies before the shuffle.
-    texts = rows.select("node", "text").dropDuplicates(["node"])
-    edges = candidate_edges(rows.select("node", "text"), n, percent)
-    family = components(edges).withColumnRenamed("root", "family")
-    members = stored(texts.join(family, "node"), "members")
-    linked = verified_edges(members, n, percent)
-    root = components(linked.select("a", "b")).select("node", "root")
-
-    sizes = stored(_sizes(rows.select("id", "node", "text"), n), "sizes")
-    own = fresh("own", docs.columns)
-    placed = sizes.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    smallest = placed.groupBy("root").agg(F.min("id").alias(own))
+    placed = _placed(_rows(docs, text, id), n, percent)
+    smallest = placed.groupBy("root").agg(F.min("id").alias("least"))
     return placed.join(smallest, "root").select(
         F.col("id").alias(id),
         "n_shingles",
-        F.when(F.col("n_shingles") > 0, F.col(own)).otherwise(F.col("id")).alias("component_id"),
+        F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("id")).alias("component_id"),
+    )
+
+
+def one_per_component(
+    docs: DataFrame,
+    text: str = "text",
+    id: str = "doc_id",
+    n: int = 5,
+    percent: int = 80,
+) -> DataFrame:
+    """The rows of ``docs`` that stay if each component keeps one.
+
+    It is the one with the smallest id (NULL is last), then key of the text; of
+    rows with equal id and text any one. Texts without words are linked with
+    nothing and all stay.
+    """
+    placed = _placed(_rows(docs, text, id), n, percent)
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "node")
+    chosen = (
+        placed.filter("n_shingles > 0")
+        .groupBy("root")
+        .agg(F.min(order).alias("least"))
+        .select(F.col("least.id").alias("_id"), F.col("least.node").alias("_node"))
+    )
+    keyed = docs.withColumns(
+        {"_node": F.xxhash64(F.coalesce(text, F.lit(""))), "_id": F.col(id)}
     )
+    wordless = ~F.coalesce(F.col(text), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    both = (keyed["_node"] == chosen["_node"]) & keyed["_id"].eqNullSafe(chosen["_id"])
+    stay = keyed.filter(~wordless).join(chosen, both, "left_semi").dropDuplicates(["_node", "_id"])
+    return stay.union(keyed.filter(wordless)).select(*docs.columns)
 
 
 def _sizes(rows: DataFrame, n: int) -> DataFrame:
