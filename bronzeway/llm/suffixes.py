@@ -25,9 +25,10 @@ from bronzeway.llm.common import mix64, repeated_keys, stored
 
 LENGTH = 200
 GRAM = 100
-#: Different surroundings of one anchor that are compared in one task. An anchor
-#: with more has its windows counted by their hashes instead, over all tasks.
-CLASS_LIMIT = 256
+#: Different surroundings of one anchor that are compared in one task: a few MB of
+#: suffixes. An anchor with more has its windows counted by their hashes instead,
+#: over all tasks, which moves a row for each window.
+CLASS_LIMIT = 1 << 13
 
 _random = np.random.default_rng(20240229)
 _BYTE = _random.integers(0, 2**64, 256, np.uint64) | np.uint64(1)
