@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 NONE, UNKNOWN = "none", "unknown"
 #: Bins of the hashed n-grams.
 BINS = 1 << 13
-#: Documents (the smallest hashes of their texts) whose paragraphs teach what is
-#: no licence. The bound of the labelled sample; nothing else is sampled.
+#: Documents (about so many, the smallest hashes of their texts) whose paragraphs
+#: teach what is no licence. The bound of the labelled sample; nothing else is
+#: sampled.
 SAMPLE_DOCS = 1500
 #: Share of a template's words that a paragraph must hold to confirm its family.
 AGREEMENT = 0.8
@@ -129,7 +130,10 @@ def labelled(spark: SparkSession, docs: DataFrame, text: str, sample_docs: int)
     Corpus paragraphs that hold most of a template's words are left out: nobody
     has labelled them.
     """
-    chosen = docs.select(text).dropna().orderBy(F.xxhash64(text)).limit(sample_docs)
+    share_of_docs = sample_docs / max(1, docs.count())
+    place = F.pmod(F.xxhash64(text), F.lit(1 << 31))
+    chosen = docs.select(F.col(text), place.alias("place")).dropna()
+    chosen = chosen.filter(F.col("place") < int(share_of_docs * (1 << 31))).dropDuplicates(["place"])
     plain = chosen.select(F.explode(paragraphs(F.col(text))).alias("paragraph")).distinct()
     rows = [(f, t) for f, found in TEMPLATES.items() for t in found]
     known = spark.createDataFrame(rows, "label string, paragraph string")
