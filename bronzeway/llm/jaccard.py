@@ -265,19 +265,28 @@ def one_per_component(
     """
     placed = _placed(_rows(docs, text, id), n, percent)
     order = F.struct(F.col("id").isNull().alias("none"), "id", "node")
+    rows = placed.filter("n_shingles > 0").groupBy("root", "id", "node").agg(F.count("*").alias("n"))
     chosen = (
-        placed.filter("n_shingles > 0")
-        .groupBy("root")
-        .agg(F.min(order).alias("least"))
-        .select(F.col("least.id").alias("_id"), F.col("least.node").alias("_node"))
+        rows.groupBy("root")
+        .agg(F.min_by(F.struct("id", "node", "n"), order).alias("one"))
+        .select(
+            F.col("one.id").alias("_one"),
+            F.col("one.node").alias("_node"),
+            (F.col("one.n") > 1).alias("_many"),
+        )
     )
     keyed = docs.withColumns(
-        {"_node": F.xxhash64(F.coalesce(text, F.lit(""))), "_id": F.col(id)}
+        {"_own": F.xxhash64(F.coalesce(text, F.lit(""))), "_id": F.col(id)}
     )
     wordless = ~F.coalesce(F.col(text), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    both = (keyed["_node"] == chosen["_node"]) & keyed["_id"].eqNullSafe(chosen["_id"])
-    stay = keyed.filter(~wordless).join(chosen, both, "left_semi").dropDuplicates(["_node", "_id"])
-    return stay.union(keyed.filter(wordless)).select(*docs.columns)
+    both = (F.col("_own") == F.col("_node")) & F.col("_id").eqNullSafe(F.col("_one"))
+    stay = keyed.filter(~wordless).join(chosen, both)
+    # Only rows that are given twice move once more.
+    once = stay.filter(~F.col("_many"))
+    twice = stay.filter("_many").dropDuplicates(["_own", "_id"])
+    return once.select(*docs.columns).union(twice.select(*docs.columns)).union(
+        keyed.filter(wordless).select(*docs.columns)
+    )
 
 
 def _sizes(rows: DataFrame, n: int) -> DataFrame:
