@@ -7,6 +7,8 @@
     spark-submit --py-files bronzeway.zip bronzeway/jobs.py profile RAW_FOLDER OUT
     spark-submit --py-files bronzeway.zip bronzeway/jobs.py sample  BRONZE OUT
     spark-submit --py-files bronzeway.zip bronzeway/jobs.py columns RAW_FOLDER OUT
+    spark-submit --py-files bronzeway.zip bronzeway/jobs.py report  GOLD OUT
+        --highways GEOJSON --states TOPOJSON [--years 2015 2020] [--select SP MG]
 
 Paths may be object-store URIs; the connector's options go to ``spark-submit``.
 """
@@ -18,11 +20,12 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from bronzeway import values as v
-from bronzeway.operators.schema import column_presence, sample_rows
+from bronzeway.operators.schema import column_presence, common_columns, sample_rows
 from bronzeway.plans import accidents
 from bronzeway.session import make_session
 from bronzeway.sources.bronze import read_bronze
 from bronzeway.sources.files import list_source_files, read_drifting_csv, read_headers
+from bronzeway.sources.geo import read_geojson, read_topojson_attributes
 from bronzeway.sources.tables import cached, read_table, write_table
 
 
@@ -56,14 +59,28 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         write_table(sample, args.target)
     elif args.job == "columns":
         headers = read_headers(spark, _paths(spark, args.source))
-        write_table(column_presence(spark, headers), args.target)
+        per_file = [(f, i, c) for f, names in headers.items() for i, c in enumerate(names, 1)]
+        listed = spark.createDataFrame(per_file, "source string, position int, column string")
+        write_table(listed, f"{args.target}/files")
+        write_table(column_presence(spark, headers), f"{args.target}/counts")
+        write_table(common_columns(spark, headers), f"{args.target}/common")
+    elif args.job == "report":
+        with cached(read_table(spark, args.source)) as gold:
+            shown = accidents.report(
+                gold,
+                read_geojson(spark, args.highways),
+                read_topojson_attributes(spark, args.states),
+                years=tuple(args.years) if args.years else None,
+                states=args.select,
+            )
+            write_table(shown, args.target)
 
 
 def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="bronzeway")
     parser.add_argument(
         "job",
-        choices=["bronze", "silver", "gold", "yearly", "profile", "sample", "columns"],
+        choices=["bronze", "silver", "gold", "yearly", "profile", "sample", "columns", "report"],
     )
     parser.add_argument("source")
     parser.add_argument("target")
@@ -73,6 +90,10 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
         default=accidents.REFERENCE,
         choices=[accidents.REFERENCE, accidents.CLEAN],
     )
+    parser.add_argument("--highways")
+    parser.add_argument("--states")
+    parser.add_argument("--years", nargs=2, type=int)
+    parser.add_argument("--select", nargs="*", default=[], help="states")
     return parser.parse_args(argv)
 
 

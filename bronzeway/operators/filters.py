@@ -6,13 +6,11 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from bronzeway.functions.dates import within_years
 from bronzeway.operators.profile import value_counts
 
-# Above this many selected values a filter becomes a semi join.
-MAX_LITERALS = 1000
-
 
 def year_bounds(df: DataFrame, date: str) -> DataFrame:
     """First and last year; the extremes of the date are enough to know them."""
@@ -26,10 +24,14 @@ def facets(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return value_counts(df, cols).select("column", "value")
 
 
-def _selected(c: Column, values: Sequence) -> Column:
-    listed = [v for v in values if v is not None]
+def _selected(c: Column, values: Sequence, kind: DataType) -> Column:
+    """Whether a column has one of the values, which are read as its type.
+
+    A value that isn't of the type selects nothing. The literals reach the scan.
+    """
+    listed = [F.lit(v).try_cast(kind) for v in dict.fromkeys(values) if v is not None]
     hit = c.isin(*listed) if listed else F.lit(False)
-    return hit | c.isNull() if len(listed) < len(values) else hit
+    return hit | c.isNull() if None in values else hit
 
 
 def facet_filter(
@@ -46,14 +48,6 @@ def facet_filter(
     if years is not None:
         df = df.filter(within_years(F.col(date), *years))
     for column, values in (selections or {}).items():
-        if not values:
-            continue
-        if len(values) <= MAX_LITERALS:
-            df = df.filter(_selected(F.col(column), values))
-            continue
-        chosen = df.sparkSession.createDataFrame(
-            [(v,) for v in dict.fromkeys(values)],
-            f"chosen {df.schema[column].dataType.simpleString()}",
-        )
-        df = df.join(chosen, F.col(column).eqNullSafe(F.col("chosen")), "left_semi")
+        if values:
+            df = df.filter(_selected(F.col(column), values, df.schema[column].dataType))
     return df

@@ -11,34 +11,17 @@ from bronzeway.operators.rollup import drop_null_keys
 def dissolve_parts(df: DataFrame, key: str, parts: str = "parts") -> DataFrame:
     """The distinct lines of each key, one per row: ``key, part``.
 
+    These rows are the key's geometry together, however many there are. NULL keys
+    drop, as in every group-by of the reporting side.
+
     A line and its reverse cover the same points, so they count as one. Rows
     are spread by key and line together: a key with most of the lines is
     shared by many tasks. A key without any line has one row with a NULL part.
     """
     line = F.col("part")
     return (
-        df.select(key, F.explode_outer(parts).alias("part"))
+        drop_null_keys(df, [key])
+        .select(key, F.explode_outer(parts).alias("part"))
         .select(key, F.least(line, F.reverse(line)).alias("part"))
         .distinct()
     )
-
-
-def dissolve_lines(
-    df: DataFrame, key: str, parts: str = "parts", max_parts: int = 100_000
-) -> DataFrame:
-    """One multi-line per key: ``key, chunk, parts``.
-
-    A key with more than ``max_parts`` lines gets several rows of about that
-    size, as a single row must fit in memory; they are its geometry together. NULL
-    keys drop, as in every group-by of the reporting side.
-    """
-    lines = dissolve_parts(drop_null_keys(df, [key]), key, parts)
-    sizes = lines.groupBy(F.col(key).alias("_key")).agg(
-        F.ceil(F.count("*") / F.lit(max_parts)).alias("_chunks")
-    )
-    return (
-        lines.join(sizes, F.col(key) == F.col("_key"))
-        .withColumn("chunk", F.pmod(F.xxhash64("part"), F.col("_chunks")).cast("int"))
-        .groupBy(key, "chunk")
-        .agg(F.sort_array(F.collect_list("part")).alias(parts))
-    )

@@ -20,20 +20,25 @@ def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     )
 
 
+# Parts in which the values of a column are ranked before all of it is.
+_PARTS = 64
+
+
 def _first_per_column(counts: DataFrame, limit: int | None) -> DataFrame:
     """The first ``limit`` values of each column, in value order.
 
-    Every task keeps at most ``limit`` rows per column before the shuffle, so
-    no task gets all values of a column.
+    A column is ranked in parts, by a hash of the value, and then over the first
+    ``limit`` of each part, so no task gets all values of a column.
     """
     if limit is None:
         return counts
-    order = Window.partitionBy("column").orderBy("value")
-    return (
-        counts.withColumn("_place", F.row_number().over(order))
-        .filter(F.col("_place") <= limit)
-        .drop("_place")
-    )
+    parts = counts.withColumn("_part", F.pmod(F.xxhash64("value"), F.lit(_PARTS)))
+    for keys in (["column", "_part"], ["column"]):
+        order = Window.partitionBy(*keys).orderBy("value")
+        parts = parts.withColumn("_place", F.row_number().over(order)).filter(
+            F.col("_place") <= limit
+        )
+    return parts.drop("_place", "_part")
 
 
 def profile_values(df: DataFrame, cols: Sequence[str], limit: int | None = None) -> DataFrame:

@@ -38,8 +38,7 @@ def top_n_with_others(
     """The ``n`` largest rows and one row for the remainder, with their shares.
 
     ``df`` has one row per label. The remainder row is always there, with 0 if
-    nothing remains. Only the ``n`` top rows are broadcast; the remainder is
-    summed where its rows are.
+    nothing remains. The remainder is summed where its rows are.
     """
     order = (F.desc_nulls_last(measure), F.asc(label))
     # n rows at most from here on, so one task may order them.
@@ -51,7 +50,7 @@ def top_n_with_others(
             F.row_number().over(Window.orderBy(*order)).alias("_rank"),
         )
     )
-    marked = df.join(F.broadcast(top), F.col(label).eqNullSafe(F.col("_label")), "left")
+    marked = df.join(top, F.col(label).eqNullSafe(F.col("_label")), "left")
     nothing_left = df.sparkSession.range(1).select(
         F.lit(n + 1).alias("_rank"),
         F.lit(None).cast(df.schema[label].dataType).alias("_label"),

@@ -58,9 +58,15 @@ def sum_by(df: DataFrame, measures: Sequence[str], keys: Sequence[str]) -> DataF
 def rate_by(
     df: DataFrame, key: str, numerator: str, denominator: str, out: str
 ) -> DataFrame:
-    """Ratio of two sums per key; NULL where the denominator sums to 0."""
+    """Ratio of two sums per key; over 0 it is infinite, and NULL for 0 of 0."""
     sums = sum_by(df, [numerator, denominator], [key])
-    return sums.withColumn(out, F.try_divide(F.col(numerator), F.col(denominator)))
+    over_nothing = F.when(F.col(numerator) != 0, F.lit(float("inf")) * F.signum(numerator))
+    return sums.withColumn(
+        out,
+        F.when(F.col(denominator) == 0, over_nothing).otherwise(
+            F.try_divide(F.col(numerator), F.col(denominator))
+        ),
+    )
 
 
 def kpi(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -7,6 +7,7 @@ applies the function and writes the next layer in a single action.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -142,9 +143,9 @@ def by_state(gold: DataFrame, states: DataFrame) -> DataFrame:
     return joins.aggregate_and_join(gold, states, v.GOLD_COUNT, "SG_UF", v.STATE_DIM_KEY)
 
 
-def map_classes(counts: DataFrame) -> DataFrame:
+def map_classes(counts: DataFrame, classes: int = v.MAP_CLASSES) -> DataFrame:
     """Colour class of each row of a map."""
-    return ranking.classify_equal_width(counts, v.GOLD_COUNT, v.MAP_CLASSES)
+    return ranking.classify_equal_width(counts, v.GOLD_COUNT, classes)
 
 
 def map_legend(counts: DataFrame, style: str = "mil") -> DataFrame:
@@ -201,7 +202,7 @@ def dashboard(
         "highway_map": map_classes(highway_counts),
         "highway_legend": map_legend(highway_counts, "mil"),
         "highway_table": count_table(highway_counts, "DS_BR", v.TABLE_CLASSES_HIGHWAY),
-        "state_map": map_classes(state_counts),
+        "state_map": map_classes(state_counts, v.STATE_MAP_CLASSES),
         "state_legend": map_legend(state_counts, "mil_round"),
         "state_table": count_table(state_counts, "SG_UF", v.TABLE_CLASSES_STATE),
         "causes": causes(rows),
@@ -210,6 +211,41 @@ def dashboard(
     }
 
 
+# What a panel shows: its label and its value.
+_SHOWN = {
+    "highway_map": ("DS_BR", "class"),
+    "highway_legend": ("position", "label"),
+    "highway_table": ("DS_BR", "shown"),
+    "state_map": ("SG_UF", "class"),
+    "state_legend": ("position", "label"),
+    "state_table": ("SG_UF", "shown"),
+    "causes": ("DS_CAUSA", v.GOLD_COUNT),
+    "death_rates": ("DS_TIPO", "shown"),
+    "accidents_by_year": (v.YEAR, "shown"),
+}
+
+
+def report(
+    gold: DataFrame, highway_dim: DataFrame, state_dim: DataFrame, **selected
+) -> DataFrame:
+    """All panels of a selection as one frame of text: panel, label, value."""
+    panels = dashboard(gold, highway_dim, state_dim, **selected)
+    shown = [
+        panels["cards"]
+        .unpivot([], v.CARD_MEASURES, "label", "value")
+        .select(F.lit("cards").alias("panel"), "label", F.col("value").cast("string"))
+    ]
+    for panel, (label, value) in _SHOWN.items():
+        shown.append(
+            panels[panel].select(
+                F.lit(panel).alias("panel"),
+                F.col(label).cast("string").alias("label"),
+                F.col(value).cast("string").alias("value"),
+            )
+        )
+    return reduce(DataFrame.unionByName, shown)
+
+
 def load_raw(spark: SparkSession, folder: str, bronze: str, only_new: bool = False) -> None:
     """Source files of a folder into the bronze table."""
     if only_new:

@@ -16,7 +16,8 @@ def _quoted(items) -> str:
     return ", ".join("'" + i.replace("'", "''") + "'" for i in items)
 
 
-_TOKENS = _quoted(v.NULL_TOKENS)
+# Written out here once more, so that a wrong list in the package shows.
+_TOKENS = _quoted(["(null)", "NA", "N/A", "null", "na", "n/a"])
 
 
 def _no_token(c: str, fill: str = "NULL") -> str:
@@ -147,7 +148,7 @@ def _counts(facets: dict[str, str], source: str, with_n: bool = True) -> str:
     )
 
 
-_EARLY = "year(o_orderdate) < 1998"
+_EARLY = "coalesce(year(o_orderdate) < 1998, false)"
 _DRIFTED = (
     f"SELECT o_orderkey, CASE WHEN {_EARLY} THEN o_custkey END AS o_custkey, o_orderstatus,"
     f" CASE WHEN NOT ({_EARLY}) THEN o_orderpriority END AS o_orderpriority,"
@@ -183,6 +184,85 @@ def _mil(x: str, small: str) -> str:
 
 _LINE = "CASE WHEN list_reverse(part) < part THEN list_reverse(part) ELSE part END"
 
+
+
+def _digests(key: str, lines: str) -> str:
+    return (
+        f"SELECT {key}, count(*) AS n_parts, sum(len(line))::bigint AS n_numbers,"
+        " sum(list_sum(list_transform(line, lambda x, i: i * cast(round(x * 1000) AS bigint))))"
+        f"::bigint AS digest FROM {lines} GROUP BY 1"
+    )
+
+
+def _report() -> str:
+    """All panels of one selection, from the statements of the single ones."""
+    chosen = (
+        f"(SELECT * FROM {_GOLD} WHERE year(DATA) BETWEEN 1996 AND 1999"
+        " AND DS_TIPO IN ('1-URGENT', '5-LOW', '2-HIGH'))"
+    )
+
+    def sums(key: str) -> str:
+        return (
+            f"(SELECT {key}, sum({COUNT})::bigint AS {COUNT} FROM {chosen}"
+            f" WHERE {key} IS NOT NULL GROUP BY {key})"
+        )
+
+    highways = (
+        f"(SELECT DS_BR, {COUNT} FROM {sums('DS_BR')}"
+        f" JOIN supplier ON cast(s_suppkey AS varchar) = DS_BR WHERE {COUNT} > 1000)"
+    )
+    states = f"(SELECT SG_UF, {COUNT} FROM {sums('SG_UF')} JOIN nation ON n_name = SG_UF)"
+
+    def legend(counts: str, small: str) -> str:
+        return (
+            f"SELECT i AS label, {_mil('x', small)} AS value FROM (SELECT i,"
+            f" lo + (hi - lo) * i / 6 AS x FROM (SELECT min({COUNT})::double AS lo,"
+            f" max({COUNT})::double AS hi FROM {counts}), range(7) t(i))"
+        )
+
+    def table(counts: str, key: str) -> str:
+        return (
+            f"SELECT {key} AS label, format('{{:,}}', {COUNT}) AS value FROM (SELECT * FROM {counts}"
+            f" ORDER BY {COUNT} DESC, {key} LIMIT 15)"
+        )
+
+    panels = {
+        "cards": " UNION ALL ".join(
+            f"SELECT '{m}' AS label, cast(coalesce(sum({m}), 0)::bigint AS varchar) AS value"
+            f" FROM {chosen}"
+            for m in v.CARD_MEASURES
+        ),
+        "highway_map": f"SELECT DS_BR AS label, class AS value FROM ({_classes(COUNT, highways, 6)})",
+        "highway_legend": legend(highways, "trunc(x)"),
+        "highway_table": table(highways, "DS_BR"),
+        "state_map": f"SELECT SG_UF AS label, class AS value FROM ({_classes(COUNT, states, 256)})",
+        "state_legend": legend(states, "round_even(x, 0)"),
+        "state_table": table(states, "SG_UF"),
+        "causes": (
+            f"SELECT CASE WHEN place <= 10 THEN DS_CAUSA ELSE 'Outros' END AS label,"
+            f" coalesce(sum({COUNT}), 0)::bigint AS value FROM (SELECT *, row_number() OVER"
+            f" (ORDER BY {COUNT} DESC, DS_CAUSA) AS place FROM {sums('DS_CAUSA')} UNION ALL"
+            " SELECT NULL, 0, 11) GROUP BY 1"
+        ),
+        "death_rates": (
+            "SELECT DS_TIPO AS label, printf('%.1f', 100 * rate) || '%' AS value FROM (SELECT"
+            " DS_TIPO, coalesce(sum(QT_TOTAL_MORTOS), 0) / nullif(coalesce(sum(QT_TOTAL_PESSOAS),"
+            f" 0), 0) AS rate FROM {chosen} WHERE DS_TIPO IS NOT NULL GROUP BY DS_TIPO)"
+        ),
+        "accidents_by_year": (
+            f"SELECT year(DATA) AS label, printf('%.1f', sum({COUNT}) / 1000.0::double) AS value"
+            f" FROM {chosen} GROUP BY 1"
+        ),
+    }
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS panel, cast(label AS varchar) AS label, cast(value AS varchar) AS value"
+        f" FROM ({statement})"
+        for name, statement in panels.items()
+    )
+
+
+_REPORT = _report()
+
 ORACLES = {
     "gold_rollup": _rollup(_SILVER),
     "gold_store": _rollup(_SILVER),
@@ -391,14 +471,54 @@ ORACLES = {
         f" FROM {_GOLD} WHERE {key} IS NOT NULL AND year(DATA) BETWEEN 1996 AND 1999 GROUP BY {key}"
         for key in ("SG_UF", "DS_CAUSA")
     ),
-    "geo_dissolve": (
-        "SELECT label, count(*) AS n_parts, sum(len(line))::bigint AS n_points FROM"
-        f" (SELECT DISTINCT label, {_LINE} AS line FROM (SELECT label, embedding AS part"
-        " FROM embeddings UNION ALL SELECT label, list_reverse(embedding) FROM embeddings))"
-        " GROUP BY label"
+    "geo_dissolve": _digests(
+        "label", f"(SELECT DISTINCT label, {_LINE} AS line FROM (SELECT label,"
+        " embedding::double[] AS part FROM embeddings))"
+    ),
+    "geojson_lines": _digests(
+        "label AS vl_br",
+        f"(SELECT DISTINCT label, flatten({_LINE}) AS line FROM (SELECT label,"
+        " list_transform(range(0, len(embedding) - 1, 2),"
+        " lambda i: embedding[i + 1:i + 2]::double[]) AS part FROM embeddings))",
+    ),
+    "geojson_collections": _digests(
+        "vl_br",
+        f"(SELECT DISTINCT vl_br, flatten({_LINE}) AS line FROM ("
+        "SELECT cast(s_suppkey % 5 AS varchar) AS vl_br,"
+        " [[s_suppkey::double, 0.5], [(s_suppkey % 7)::double, 2.0]] AS part FROM supplier UNION ALL"
+        " SELECT cast(s_suppkey % 5 AS varchar), [[1.0::double, s_suppkey::double], [3.0, 4.0]]"
+        " FROM supplier WHERE s_suppkey % 2 <> 0))",
+    ),
+    "topojson_join": (
+        f"SELECT cast(n_nationkey AS varchar) AS id, n_name AS name, s.SG_UF, s.{COUNT}"
+        f" FROM nation JOIN (SELECT cast(s_nationkey AS varchar) AS SG_UF, count(*) AS {COUNT}"
+        " FROM supplier GROUP BY 1) s ON s.SG_UF = cast(n_nationkey AS varchar)"
+    ),
+    "sample_bernoulli": (
+        "SELECT 0::bigint AS outside, 0::bigint AS repeated, count(*) > 0 AS share_ok FROM orders"
+    ),
+    "rate_edges": (
+        "SELECT 'T' || k AS DS_TIPO, round(CASE WHEN people = 0 THEN CASE WHEN dead > 0 THEN"
+        " 'infinity'::double END ELSE dead / people END, 6) AS rate FROM (SELECT l_partkey % 14 AS k,"
+        " sum(CASE WHEN l_partkey % 14 = 5 THEN 0 ELSE l_linenumber % 3 END) AS dead,"
+        " coalesce(sum(CASE WHEN l_partkey % 14 BETWEEN 3 AND 5 THEN 0 WHEN l_partkey % 14 > 5"
+        " THEN trunc(l_quantity) END), 0) AS people FROM lineitem GROUP BY 1)"
+        " ORDER BY rate DESC NULLS LAST, DS_TIPO LIMIT 10"
+    ),
+    "facet_filter_typed": (
+        "SELECT o_orderkey, cast(cast(o_orderdate AS date) AS varchar) AS day, o_custkey FROM orders"
+        " WHERE o_custkey % 2 = 0 AND o_custkey < 2400 AND day(o_orderdate) % 2 = 1"
+        " AND day(o_orderdate) < 29 AND year(o_orderdate) BETWEEN 1995 AND 2001"
+    ),
+    "incremental_replaced": (
+        "SELECT o_orderkey, o_orderstatus, unnest(CASE WHEN o_orderkey % 3 = 0 THEN"
+        f" ['early', 'kept'] ELSE ['kept'] END) AS source_filename FROM orders WHERE {_EARLY}"
     ),
-    "geojson_lines": (
-        "SELECT label AS vl_br, count(*) AS n_parts, sum(len(embedding) // 2)::bigint AS n_points"
-        " FROM (SELECT DISTINCT label, embedding FROM embeddings) GROUP BY label"
+    "odd_headers": (
+        "SELECT cast(o_orderkey AS varchar) AS o_orderkey, o_orderstatus AS code,"
+        " o_orderpriority AS _c2, NULL::varchar AS code1, NULL::varchar AS code2 FROM orders"
+        " UNION ALL SELECT cast(o_orderkey AS varchar), NULL, NULL, o_orderstatus,"
+        " cast(cast(o_orderdate AS date) AS varchar) FROM orders"
     ),
+    "report_panels": _REPORT,
 }

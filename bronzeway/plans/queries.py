@@ -23,9 +23,9 @@ from bronzeway.operators import (
     schema,
 )
 from bronzeway.plans import accidents, roles
-from bronzeway.session import apply_settings, scratch_path
+from bronzeway.session import own_session, scratch_path
 from bronzeway.sources import bronze, files, tables
-from bronzeway.sources.geo import read_geojson
+from bronzeway.sources.geo import read_geojson, read_topojson_attributes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,22 +36,22 @@ COUNT = v.GOLD_COUNT
 
 def query(make: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return make(apply_settings(spark), sf_dir)
+        return make(own_session(spark), sf_dir)
 
     QUERIES[make.__name__] = run
     return run
 
 
 def _silver(spark, sf, *columns):
-    return roles.frame(spark, sf, roles.SILVER, columns or None, heavy=True)
+    return roles.frame(spark, sf, roles.SILVER, columns or None)
 
 
 def _gold(spark, sf, *columns):
     return roles.frame(spark, sf, roles.GOLD, columns or None)
 
 
-def _raw(spark, sf, *columns, heavy=False):
-    return roles.frame(spark, sf, roles.RAW, columns or None, heavy)
+def _raw(spark, sf, *columns):
+    return roles.frame(spark, sf, roles.RAW, columns or None)
 
 
 def _orders(spark, sf):
@@ -140,7 +140,7 @@ def multi_format_date(spark, sf):
 @query
 def decimal_comma(spark, sf):
     rows = clean.replace_null_tokens(
-        _raw(spark, sf, "id", *v.FLOAT_COLUMNS, heavy=True), v.FLOAT_COLUMNS
+        _raw(spark, sf, "id", *v.FLOAT_COLUMNS), v.FLOAT_COLUMNS
     )
     return clean.parse_decimal_comma(rows, v.FLOAT_COLUMNS)
 
@@ -148,7 +148,7 @@ def decimal_comma(spark, sf):
 @query
 def safe_int(spark, sf):
     rows = clean.replace_null_tokens(
-        _raw(spark, sf, "id", *v.COUNT_COLUMNS, heavy=True), v.COUNT_COLUMNS
+        _raw(spark, sf, "id", *v.COUNT_COLUMNS), v.COUNT_COLUMNS
     )
     return clean.parse_int(rows, v.COUNT_COLUMNS)
 
@@ -202,12 +202,12 @@ def partial_recode(spark, sf):
 
 @query
 def silver_clean(spark, sf):
-    return _iso(accidents.to_silver(_raw(spark, sf, heavy=True)), "date")
+    return _iso(accidents.to_silver(_raw(spark, sf)), "date")
 
 
 @query
 def silver_clean_strict(spark, sf):
-    silver = accidents.to_silver(_raw(spark, sf, heavy=True), accidents.CLEAN)
+    silver = accidents.to_silver(_raw(spark, sf), accidents.CLEAN)
     return silver.select("id", "br", "condicao_metereologica", "causa_acidente")
 
 
@@ -227,7 +227,8 @@ def rename_project(spark, sf):
 def _order_slices(spark, sf):
     """Orders as two deliveries whose columns differ in number, order and case."""
     orders = _orders(spark, sf).withColumn("o_orderdate", F.to_date("o_orderdate"))
-    early = F.year("o_orderdate") < 1998
+    # Rows without a date are late, so that each row is in one of the two.
+    early = F.coalesce(F.year("o_orderdate") < 1998, F.lit(False))
     return {
         "early": orders.filter(early).select("o_orderkey", "o_custkey", "o_orderstatus"),
         "late": orders.filter(~early).select(
@@ -307,6 +308,38 @@ def incremental_new_files(spark, sf):
     return bronze.read_bronze(spark, path).drop(v.SOURCE_COLUMN)
 
 
+@query
+def incremental_replaced(spark, sf):
+    """One source comes again with fewer rows, one with none, and one stays."""
+    path = scratch_path(spark, "bronze")
+    slices = _order_slices(spark, sf)
+    named = {n: r.withColumn(v.SOURCE_COLUMN, F.lit(n)) for n, r in slices.items()}
+    named["kept"] = named["early"].withColumn(v.SOURCE_COLUMN, F.lit("kept"))
+    for rows in named.values():
+        bronze.replace_sources(spark, rows, [], path)
+    fewer = named["early"].filter("o_orderkey % 3 = 0")
+    bronze.replace_sources(spark, fewer, ["late"], path)
+    columns = ["o_orderkey", "o_orderstatus"]
+    return bronze.read_bronze(spark, path).select(*columns, v.SOURCE_COLUMN)
+
+
+@query
+def odd_headers(spark, sf):
+    """Files with a blank and a repeated name in their header."""
+    orders = _orders(spark, sf).withColumn("o_orderdate", F.to_date("o_orderdate").cast("string"))
+    folder = _deliver(
+        spark,
+        {
+            "odd": orders.select("o_orderkey", F.col("o_orderstatus").alias("code"),
+                                 F.col("o_orderpriority").alias(" ")),
+            "twice": orders.select("o_orderkey", F.col("o_orderstatus").alias("code"),
+                                   F.col("o_orderdate").alias("Code")),
+        },
+    )
+    rows = files.read_drifting_csv(spark, _delivered(spark, folder))
+    return rows.select("o_orderkey", "code", "_c2", "code1", "code2")
+
+
 @query
 def provenance_counts(spark, sf):
     folder = _deliver(spark, _order_slices(spark, sf))
@@ -340,16 +373,24 @@ def described_columns(spark, sf):
 @query
 def medallion_gold(spark, sf):
     """Drifting source files to bronze, silver and gold, each layer stored."""
-    raw = roles.frame(spark, sf, {**roles.RAW, "_year": "year(l_shipdate)"}, heavy=True)
-    year = F.col("_year")
+    split = "CASE WHEN year(l_shipdate) < 1998 THEN 1 WHEN year(l_shipdate) < 2000 THEN 2 ELSE 3 END"
+    path = scratch_path(spark, "slices")
+    # The rows are made once, and read slice by slice.
+    made = roles.frame(spark, sf, {**roles.RAW, "_slice": split})
+    made.write.partitionBy("_slice").parquet(path)
+    raw = tables.read_table(spark, path)
+
+    def slice_of(number: int) -> DataFrame:
+        return raw.filter(F.col("_slice") == str(number))
+
     lean = [c for c in v.RAW_COLUMNS if c not in v.RAW_COLUMNS[-5:]]
     turned = [F.col(c).alias("UOP" if c == "uop" else c) for c in reversed(v.RAW_COLUMNS)]
     folder = _deliver(
         spark,
         {
-            "first": raw.filter(year < 1998).select(*lean),
-            "second": raw.filter(year.between(1998, 1999)).select(*v.RAW_COLUMNS),
-            "third": raw.filter(year > 1999).select(*turned),
+            "first": slice_of(1).select(*lean),
+            "second": slice_of(2).select(*v.RAW_COLUMNS),
+            "third": slice_of(3).select(*turned),
         },
     )
     lake = scratch_path(spark, "lake")
@@ -367,7 +408,7 @@ def medallion_gold(spark, sf):
 @query
 def profile_number_formats(spark, sf):
     return accidents.format_profile(
-        _raw(spark, sf, *v.FORMAT_PROFILE_COLUMNS, heavy=True)
+        _raw(spark, sf, *v.FORMAT_PROFILE_COLUMNS)
     )
 
 
@@ -405,8 +446,52 @@ def sample_rows(spark, sf):
 
 @query
 def sample_bernoulli(spark, sf):
-    """The engine's own sample; which rows it takes depends on the partitions."""
-    return schema.sample_rows(_orders(spark, sf), v.SAMPLE_FRACTION, v.SAMPLE_SEED)
+    """The engine's own sample, which rows depend on the partitions: what must hold.
+
+    No row from outside of the table, none twice, and about the share asked for.
+    """
+    orders = _orders(spark, sf).select("o_orderkey")
+    taken = schema.sample_rows(orders, v.SAMPLE_FRACTION, v.SAMPLE_SEED)
+    marked = orders.withColumn("n", F.lit(0)).union(taken.withColumn("n", F.lit(1)))
+    per_row = marked.groupBy("o_orderkey").agg(F.count("*").alias("seen"), F.sum("n").alias("n"))
+    share = F.sum("n") / F.count("*")
+    return per_row.agg(
+        F.count_if(F.col("seen") == F.col("n")).alias("outside"),
+        F.count_if(F.col("n") > 1).alias("repeated"),
+        (F.abs(share - v.SAMPLE_FRACTION) < 0.03).alias("share_ok"),
+    )
+
+
+@query
+def rate_edges(spark, sf):
+    """More groups than are shown; some with deaths over nobody, some without either."""
+    rows = roles.table(spark, sf, "lineitem").select(
+        F.concat(F.lit("T"), (F.col("l_partkey") % 14).cast("string")).alias("DS_TIPO"),
+        F.when(F.col("l_partkey") % 14 == 5, 0)
+        .otherwise(F.col("l_linenumber") % 3)
+        .cast("bigint")
+        .alias("QT_TOTAL_MORTOS"),
+        F.when(F.col("l_partkey") % 14 < 6, F.when(F.col("l_partkey") % 14 > 2, 0))
+        .otherwise(F.col("l_quantity"))
+        .cast("bigint")
+        .alias("QT_TOTAL_PESSOAS"),
+    )
+    rates = rollup.rate_by(rows, "DS_TIPO", "QT_TOTAL_MORTOS", "QT_TOTAL_PESSOAS", "rate")
+    top = ranking.top_table(rates, "DS_TIPO", "rate", v.TOP_RATES)
+    return top.select("DS_TIPO", F.round("rate", 6).alias("rate"))
+
+
+@query
+def facet_filter_typed(spark, sf):
+    """Selections of a number and a date column, given as text, one value being neither."""
+    rows = _orders(spark, sf).select(
+        "o_orderkey", F.to_date("o_orderdate").alias("day"), "o_custkey"
+    )
+    customers = [str(i) for i in range(0, 2400, 2)] + ["none"]
+    days = [f"{year}-{month:02}-{day:02}" for year in range(1995, 2002)
+            for month in range(1, 13) for day in range(1, 29, 2)]
+    chosen = filters.facet_filter(rows, selections={"o_custkey": customers, "day": days})
+    return _iso(chosen, "day")
 
 
 # --- reports ---------------------------------------------------------------
@@ -567,44 +652,148 @@ def selected_panels(spark, sf):
     return tables.read_table(spark, path)
 
 
+@query
+def report_panels(spark, sf):
+    """Every panel of one selection, as text."""
+    suppliers = roles.table(spark, sf, "supplier").select(
+        F.col("s_suppkey").cast("string").alias(v.HIGHWAY_DIM_KEY)
+    )
+    nation = roles.table(spark, sf, "nation").select(F.col("n_name").alias(v.STATE_DIM_KEY))
+    return accidents.report(
+        _gold(spark, sf), suppliers, nation, years=(1996, 1999), types=["1-URGENT", "5-LOW", "2-HIGH"]
+    )
+
+
 # --- geometry --------------------------------------------------------------
 
 
-def _dissolved(lines: DataFrame, key: str) -> DataFrame:
+def _dissolved(lines: DataFrame, key: str, numbers) -> DataFrame:
+    """Lines, numbers and a digest of all coordinates of each key.
+
+    ``numbers`` gives the numbers of a line in order.
+    """
+    places = F.transform(
+        numbers(F.col("part")), lambda x, i: (i + 1) * F.round(x * 1000).cast("bigint")
+    )
     return (
-        geo.dissolve_lines(lines, key)
+        geo.dissolve_parts(lines, key)
+        .select(key, F.size(numbers(F.col("part"))).alias("n"), F.aggregate(
+            places, F.lit(0).cast("bigint"), lambda total, x: total + x).alias("digest"))
         .groupBy(key)
         .agg(
-            F.sum(F.size("parts")).alias("n_parts"),
-            F.sum(
-                F.aggregate("parts", F.lit(0), lambda n, part: n + F.size(part))
-            ).alias("n_points"),
+            F.count("*").alias("n_parts"),
+            F.sum("n").alias("n_numbers"),
+            F.sum("digest").alias("digest"),
         )
-    )
+    )
 
 
 @query
 def geo_dissolve(spark, sf):
     """Each vector is a line and comes twice, once from its other end."""
-    rows = roles.table(spark, sf, "embeddings")
-    both = rows.select("label", F.array("embedding", F.reverse("embedding")).alias("parts"))
-    return _dissolved(both, "label")
+    rows = roles.table(spark, sf, "embeddings").select(
+        "label", F.col("embedding").cast("array<double>").alias("line")
+    )
+    both = rows.select("label", F.array("line", F.reverse("line")).alias("parts"))
+    return _dissolved(both, "label", lambda part: part)
+
+
+def _pairs(numbers):
+    """Pairs of neighbouring numbers, as points."""
+    return F.transform(
+        F.sequence(F.lit(0), F.size(numbers) - 2, F.lit(2)),
+        lambda i: F.slice(numbers, i + 1, 2).cast("array<double>"),
+    )
 
 
 @query
 def geojson_lines(spark, sf):
-    """Vectors written as line features, read back and dissolved."""
+    """Vectors written as line features, twice each, read back and dissolved."""
     path = scratch_path(spark, "geojson")
-    line = F.transform(
-        F.expr("sequence(0, size(embedding) - 2, 2)"),
-        lambda i: F.slice("embedding", i + 1, 2).cast("array<double>"),
-    )
-    roles.table(spark, sf, "embeddings").select(
+    line = _pairs(F.col("embedding"))
+    turned = F.explode(F.array(line, F.reverse(line)))
+    roles.table(spark, sf, "embeddings").select("label", turned.alias("line")).select(
         F.lit("Feature").alias("type"),
         F.struct(F.col("label").alias(v.HIGHWAY_DIM_KEY)).alias("properties"),
-        F.struct(F.lit("LineString").alias("type"), line.alias("coordinates")).alias("geometry"),
+        F.struct(F.lit("LineString").alias("type"), F.col("line").alias("coordinates")).alias(
+            "geometry"
+        ),
     ).write.json(path)
     lines = read_geojson(spark, path, by_line=True)
-    return _dissolved(lines, v.HIGHWAY_DIM_KEY).withColumn(
+    return _dissolved(lines, v.HIGHWAY_DIM_KEY, F.flatten).withColumn(
         v.HIGHWAY_DIM_KEY, F.col(v.HIGHWAY_DIM_KEY).cast("int")
     )
+
+
+@query
+def geojson_collections(spark, sf):
+    """Feature collections, a file for every hundred suppliers.
+
+    Lines and pairs of lines, every third supplier twice; a line is the key's
+    digits, so what is read can be told from it.
+    """
+    path = scratch_path(spark, "collections")
+    key = F.col("s_suppkey")
+    line = F.array(
+        F.array(key.cast("double"), F.lit(0.5)), F.array((key % 7).cast("double"), F.lit(2.0))
+    )
+    second = F.array(F.array(F.lit(1.0), key.cast("double")), F.array(F.lit(3.0), F.lit(4.0)))
+    geometry = F.when(
+        key % 2 == 0,
+        F.to_json(F.struct(F.lit("LineString").alias("type"), line.alias("coordinates"))),
+    ).otherwise(
+        F.to_json(
+            F.struct(
+                F.lit("MultiLineString").alias("type"), F.array(line, second).alias("coordinates")
+            )
+        )
+    )
+    feature = F.concat(
+        F.lit('{"type":"Feature","properties":{"vl_br":"'), (key % 5).cast("string"),
+        F.lit('"},"geometry":'), geometry, F.lit("}"),
+    )
+    copies = F.sequence(F.lit(1), F.when(key % 3 == 0, 2).otherwise(1))
+    files_of = (
+        roles.table(spark, sf, "supplier")
+        .select(feature.alias("feature"), F.floor(key / 100).alias("file"), F.explode(copies))
+        .groupBy("file")
+        .agg(F.array_join(F.collect_list("feature"), ",").alias("features"))
+        .select(
+            "file",
+            F.concat(
+                F.lit('{"type":"FeatureCollection","features":['), "features", F.lit("]}")
+            ).alias("value"),
+        )
+    )
+    files_of.write.partitionBy("file").text(path)
+    lines = read_geojson(spark, path).drop("file")
+    return _dissolved(lines, v.HIGHWAY_DIM_KEY, F.flatten)
+
+
+@query
+def topojson_join(spark, sf):
+    """Nations written as a topology, read back and joined to counts of suppliers."""
+    path = scratch_path(spark, "topology")
+    geometries = roles.table(spark, sf, "nation").select(
+        F.lit(1).alias("one"),
+        F.to_json(
+            F.struct(
+                F.col("n_nationkey").cast("string").alias("id"),
+                F.lit("Polygon").alias("type"),
+                F.struct(F.col("n_name").alias("name")).alias("properties"),
+            )
+        ).alias("g"),
+    )
+    # A dimension of 25 rows, and by format one document.
+    geometries.groupBy("one").agg(F.array_join(F.collect_list("g"), ",").alias("g")).select(
+        F.concat(
+            F.lit('{"type":"Topology","objects":{"states":{"type":"GeometryCollection","geometries":['),
+            "g",
+            F.lit("]}},\"arcs\":[]}"),
+        ).alias("value")
+    ).write.text(path)
+    states = read_topojson_attributes(spark, path)
+    suppliers = roles.table(spark, sf, "supplier").select(
+        F.col("s_nationkey").cast("string").alias("SG_UF"), F.lit(1).alias(COUNT)
+    )
+    return accidents.by_state(suppliers, states)

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bronzeway import values as v
-from bronzeway.sources.tables import spread
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -54,25 +53,23 @@ _INJURED_BADLY = "cast(l_linenumber % 3 AS int)"
 _DEAD = "CASE WHEN l_orderkey % 11 <> 0 THEN cast((l_orderkey + l_linenumber) % 3 AS int) END"
 _UNKNOWN = "CASE WHEN l_orderkey % 11 <> 0 THEN cast(l_orderkey % 2 AS int) END"
 
-# Typed rows, one per accident.
+# Typed rows, one per accident, with keys coarse enough for groups of many rows.
 SILVER = {
-    "date": "cast(l_shipdate AS date)",
-    "dia_semana": pick(
-        "l_orderkey",
-        ["segunda", "terça", "quarta", "quinta", "sexta", "sábado", "domingo"],
-    ),
+    "date": "make_date(cast(year(l_shipdate) AS int), 1, 1)",
+    "dia_semana": pick("l_linenumber", ["segunda", "sexta", "domingo"]),
     "fase_dia": "CASE WHEN l_orderkey % 13 <> 0 THEN l_returnflag END",
     "condicao_metereologica": "l_linestatus",
-    "uf": "n_name",
-    "br": "cast(l_suppkey AS string)",
-    "causa_acidente": "p_brand",
-    "tipo_acidente": "o_orderpriority",
+    "uf": "CASE WHEN l_orderkey % 17 <> 0 THEN 'UF ' || cast(n_regionkey % 2 AS string) END",
+    "br": "cast(l_suppkey % 2 AS string)",
+    "causa_acidente": "CASE WHEN p_size < 25 THEN 'sono' ELSE 'chuva' END",
+    "tipo_acidente": "CASE WHEN o_orderpriority < '3' THEN 'colisão' END",
     "pessoas": "cast(l_quantity AS int)",
     "ilesos": "cast(l_linenumber % 4 AS int)",
     "feridos": f"{_INJURED_LIGHT} + {_INJURED_BADLY}",
     "feridos_leves": _INJURED_LIGHT,
     "feridos_graves": _INJURED_BADLY,
-    "mortos": _DEAD,
+    # No value at all in the groups of one weekday.
+    "mortos": f"CASE WHEN l_linenumber % 3 <> 2 THEN {_DEAD} END",
     "ignorados": _UNKNOWN,
 }
 
@@ -189,7 +186,7 @@ def _joins(expressions: Sequence[str]) -> list[tuple[str, str]]:
 def sql(roles: dict[str, str], columns: Sequence[str] | None = None) -> str:
     """SELECT statement of the frame."""
     chosen = {c: roles[c] for c in columns or roles}
-    joins = " ".join(f"JOIN {t} ON {on}" for t, on in _joins(list(chosen.values())))
+    joins = " ".join(f"LEFT JOIN {t} ON {on}" for t, on in _joins(list(chosen.values())))
     items = ", ".join(f"{expr} AS {name}" for name, expr in chosen.items())
     return f"SELECT {items} FROM lineitem {joins}"
 
@@ -199,13 +196,10 @@ def frame(
     folder: str,
     roles: dict[str, str],
     columns: Sequence[str] | None = None,
-    heavy: bool = False,
 ) -> DataFrame:
-    """``heavy`` spreads a small table over all cores for costly expressions."""
+    """Rows of lineitem with what they have in the other tables."""
     chosen = {c: roles[c] for c in columns or roles}
     rows = table(spark, folder, "lineitem")
-    if heavy:
-        rows = spread(rows)
     for name, condition in _joins(list(chosen.values())):
-        rows = rows.join(table(spark, folder, name), F.expr(condition))
+        rows = rows.join(table(spark, folder, name), F.expr(condition), "left")
     return rows.selectExpr(*(f"{expr} AS {name}" for name, expr in chosen.items()))

@@ -47,11 +47,15 @@ def make_session(
     return builder.getOrCreate()
 
 
-def apply_settings(spark: SparkSession) -> SparkSession:
-    """Put the settings on a session made by somebody else."""
+def own_session(spark: SparkSession) -> SparkSession:
+    """A session on the same cluster with the settings; the caller's stays as it is."""
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key) and own.conf.get(key, None) != value:
+            own.conf.set(key, value)
     for key, value in SETTINGS.items():
-        spark.conf.set(key, value)
-    return spark
+        own.conf.set(key, value)
+    return own
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -49,15 +49,6 @@ def write_table(
     df.write.format(fmt).mode(mode).save(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores where a small table is stored in fewer splits.
-
-    A table with a split for every core, as any big one has, is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 @contextmanager
 def cached(df: DataFrame) -> Iterator[DataFrame]:
     """Keep a frame while several results are drawn from it; spills to disk."""

@@ -218,3 +218,4 @@ OTHERS_LABEL = "Outros"
 LABEL_WIDTH = 35
 
 MAP_CLASSES, TABLE_CLASSES_HIGHWAY, TABLE_CLASSES_STATE = 6, 6, 256
+STATE_MAP_CLASSES = 256

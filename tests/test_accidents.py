@@ -163,8 +163,30 @@ def test_jobs_from_files_to_reports(spark, tmp_path):
         "DD/DD/DD", "DD/DD/DDDD", "DDDD-DD-DD",
     }
     assert read_table(spark, f"{profile}/values").filter("column = 'uf'").count() == 2
-    columns = read_table(spark, job("columns", str(folder), "columns"))
-    assert columns.filter("n_sources = 3").count() == len(LEAN)
+    columns = job("columns", str(folder), "columns")
+    assert read_table(spark, f"{columns}/counts").filter("n_sources = 3").count() == len(LEAN)
+    assert read_table(spark, f"{columns}/common").count() == len(LEAN)
+    per_file = read_table(spark, f"{columns}/files")
+    assert per_file.count() == len(LEAN) + 2 * len(v.RAW_COLUMNS)
+    assert per_file.filter("position = 1 AND column = 'uop'").count() == 1
+
+    (tmp_path / "roads.json").write_text(
+        '{"features": [{"properties": {"vl_br": "101"}, "geometry":'
+        ' {"type": "LineString", "coordinates": [[0, 1], [2, 3]]}}]}'
+    )
+    (tmp_path / "states.json").write_text(
+        '{"objects": {"uf": {"geometries": [{"id": "SP"}, {"id": "MG"}]}}}'
+    )
+    report = read_table(
+        spark,
+        job(
+            "report", gold_path, "report", "--highways", str(tmp_path / "roads.json"),
+            "--states", str(tmp_path / "states.json"), "--years", "2007", "2010",
+        ),
+    )
+    shown = {(r.panel, r.label): r.value for r in report.collect()}
+    assert shown["cards", v.GOLD_COUNT] == "4"
+    assert {panel for panel, _ in shown} >= {"state_map", "causes", "death_rates", "accidents_by_year"}
     assert read_table(spark, job("sample", bronze, "sample")).count() <= 6
 
 
@@ -196,7 +218,7 @@ def test_dashboard(spark):
         (1200.0, "1 mil"), (1250.0, "1 mil"), (1300.0, "1 mil"), (1350.0, "1 mil"),
         (1400.0, "1 mil"), (1450.0, "1 mil"), (1500.0, "1 mil"),
     ]
-    assert sorted(r[-1] for r in panels["state_map"]) == [1, 6]
+    assert sorted(r[-1] for r in panels["state_map"]) == [1, 256]
     assert panels["state_table"] == [("MG", 2100, 256, "2,100"), ("SP", 1500, 1, "1,500")]
     assert [r[:2] for r in panels["causes"]] == [("b", 2100), ("a", 1500), ("Outros", 0)]
     assert panels["death_rates"] == [

@@ -116,8 +116,12 @@ def test_reporting_sums(spark):
     )
     assert sorted(rows(rollup.sum_by(df, ["m"], ["k"]))) == [("a", 1), ("b", 0), ("c", 1)]
     rates = rollup.rate_by(df, "k", "m", "n", "r")
-    assert sorted((r.k, r.r) for r in rates.collect()) == [("a", None), ("b", None), ("c", 0.25)]
-    assert rows(ranking.top_table(rates, "k", "r", 3)) == [("c", 0.25), ("a", None), ("b", None)]
+    assert sorted((r.k, r.r) for r in rates.collect()) == [
+        ("a", float("inf")), ("b", None), ("c", 0.25),
+    ]
+    assert rows(ranking.top_table(rates, "k", "r", 3)) == [
+        ("a", float("inf")), ("c", 0.25), ("b", None),
+    ]
     assert rows(rollup.kpi(df, ["m", "n"])) == [(11, 13)]
     assert rows(rollup.kpi(df.limit(0), ["m", "n"])) == [(0, 0)]
 
@@ -157,12 +161,17 @@ def test_filter_selection(gold):
     assert kept(uf=[None]) == 1
 
 
-def test_long_selection_equals_short(gold, monkeypatch):
-    chosen = {"uf": ["SP", "SP", None], "br": ["101", "116"]}
-    short = sorted(rows(filters.facet_filter(gold, selections=chosen)), key=str)
-    monkeypatch.setattr(filters, "MAX_LITERALS", 1)
-    assert sorted(rows(filters.facet_filter(gold, selections=chosen)), key=str) == short
-    assert len(short) == 3
+@pytest.mark.parametrize("n", [1, 1000, 1001])
+@pytest.mark.parametrize("kind", ["int", "date", "string"])
+def test_selections_take_the_type_of_the_column(spark, n, kind):
+    first = "timestampadd(DAY, cast(id AS int), DATE'2000-01-01')"
+    made = {"int": "id", "date": first, "string": "id"}[kind]
+    df = spark.range(1500).selectExpr(f"cast({made} AS {kind}) AS c").union(
+        spark.sql(f"SELECT cast(NULL AS {kind})")
+    )
+    chosen = [r.c for r in df.selectExpr("cast(c AS string) AS c").limit(n).collect()] + ["x y"]
+    assert filters.facet_filter(df, selections={"c": chosen}).count() == n
+    assert filters.facet_filter(df, selections={"c": [*chosen, None]}).count() == n + 1
 
 
 def test_facets(gold):
@@ -273,18 +282,14 @@ def test_dissolve_equals_brute_force(spark):
     df = spark.createDataFrame(
         [*data, (None, [pool[0]])], "vl_br string, parts array<array<array<double>>>"
     )
-    for max_parts in (100_000, 3):
-        got = defaultdict(set)
-        chunks = defaultdict(int)
-        for row in geo.dissolve_lines(df, "vl_br", max_parts=max_parts).collect():
-            found = {tuple(map(tuple, part)) for part in row.parts}
-            assert len(found) == len(row.parts) and not found & got[row.vl_br]
-            got[row.vl_br] |= found
-            chunks[row.vl_br] += 1
-        assert got == _brute_dissolve(data)
-        assert all(n == 1 for n in chunks.values()) == (max_parts > 3)
+    got = defaultdict(set)
+    for row in geo.dissolve_parts(df, "vl_br").collect():
+        part = tuple(map(tuple, row.part))
+        assert part not in got[row.vl_br]
+        got[row.vl_br].add(part)
+    assert got == _brute_dissolve(data)
 
 
 def test_a_key_without_lines_stays(spark):
     df = spark.createDataFrame([("101", [])], "k string, parts array<array<array<double>>>")
-    assert rows(geo.dissolve_lines(df, "k").select("k", "parts")) == [("101", [])]
+    assert rows(geo.dissolve_parts(df, "k")) == [("101", None)]

@@ -9,7 +9,8 @@ import __spark_entry__ as driver
 from bronzeway.plans.roles import TABLES
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, ORACLES = driver.queries(), driver.oracle_sql()
+from bronzeway.plans.oracles import ORACLES  # noqa: E402
+from bronzeway.plans.queries import QUERIES  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -41,14 +42,20 @@ def test_query_equals_sql(spark, oracle, name):
     assert rows
 
 
-def test_all_but_the_random_sample_have_sql():
-    assert set(QUERIES) - set(ORACLES) == {"sample_bernoulli"}
-    assert not set(ORACLES) - set(QUERIES)
+def test_all_have_sql():
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(driver.queries()) and set(ORACLES) <= set(driver.oracle_sql())
 
 
-def test_random_sample(spark):
-    n = QUERIES["sample_bernoulli"](spark, SF_DIR).count()
-    assert 30 < n < 130
+def test_a_callers_session_keeps_its_settings(spark):
+    before = dict(spark.conf.getAll)
+    QUERIES["kpi_cards"](spark, SF_DIR).collect()
+    assert dict(spark.conf.getAll) == before
+
+
+def test_the_rollup_reduces(spark):
+    rows = QUERIES["gold_rollup"](spark, "/root/testdata/sf0.01").collect()
+    assert 10 * len(rows) <= 60_000 and any(r.QT_TOTAL_MORTOS is None and r.QT_ACIDENTES > 10 for r in rows)
 
 
 def test_entry(spark):

@@ -50,10 +50,58 @@ def test_headers(spark, drifting):
     ]
 
 
-def test_repeated_header_is_refused(spark, tmp_path):
-    path = write_csv(tmp_path, "x.csv", ["id", "b", "B"], ["1", "2", "3"])
-    with pytest.raises(Exception, match="header"):
-        files.read_drifting_csv(spark, [path]).collect()
+def test_blank_and_repeated_names_load(spark, tmp_path):
+    first = write_csv(tmp_path, "x.csv", ["id", "b", "B", "", '"c;d"'], ["1", "2", "3", "4", "5"])
+    second = write_csv(tmp_path, "y.csv", ["id", ""], ["7", "8"])
+    df = files.read_drifting_csv(spark, [first, second]).drop(v.SOURCE_COLUMN)
+    assert sorted(df.columns) == ["_c1", "_c3", "b1", "b2", "c;d", "id"]
+    assert sorted(rows(df.select("id", "b1", "b2", "_c3", "`c;d`", "_c1")), key=str) == [
+        ("1", "2", "3", "4", "5", None), ("7", None, None, None, None, "8"),
+    ]
+    table = scratch_path(spark, "t")
+    bronze.ingest_files(spark, [first, second], table)
+    assert bronze.read_bronze(spark, table).count() == 2
+
+
+@pytest.mark.parametrize("n", [10, 60])
+def test_jobs_do_not_grow_with_the_files(spark, tmp_path, n):
+    for i in range(n):
+        write_csv(tmp_path, f"f{i:03}.csv", ["id", "uf"], [str(i), "x"])
+    found = paths(spark, tmp_path)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup(f"headers-{n}", "headers")
+    try:
+        assert len(files.read_headers(spark, found)) == n
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(tracker.getJobIdsForGroup(f"headers-{n}")) < 8
+
+
+def test_delivery_without_rows_empties_its_partition(spark, tmp_path):
+    table = scratch_path(spark, "t")
+    kept = write_csv(tmp_path, "a.csv", ["id", "uf"], ["1", "x"])
+    path = write_csv(tmp_path, "b.csv", ["id", "uf"], ["2", "y"])
+    (tmp_path / "nothing.csv").write_text("")
+    bronze.ingest_files(spark, paths(spark, tmp_path), table)
+    assert bronze.read_bronze(spark, table).count() == 2
+    write_csv(tmp_path, "b.csv", ["id", "uf"])
+    spark.catalog.refreshByPath(str(tmp_path))
+    bronze.ingest_files(spark, [path], table)
+    got = bronze.read_bronze(spark, table)
+    assert rows(got.select("id", "uf")) == [("1", "x")] and kept
+    assert rows(bronze.read_bronze(spark, table, columns=["id"]).select("id")) == [("1",)]
+    assert bronze.pending_files(spark, str(tmp_path), table) == []
+    write_csv(tmp_path, "b.csv", ["id", "uf"], ["3", "z"])
+    spark.catalog.refreshByPath(str(tmp_path))
+    bronze.ingest_files(spark, [path], table)
+    assert sorted(r.id for r in bronze.read_bronze(spark, table).collect()) == ["1", "3"]
+
+
+def test_a_wrong_bronze_path_is_no_new_table(spark, drifting, tmp_path):
+    (tmp_path / "plain").mkdir()
+    (tmp_path / "plain" / "x.parquet").write_bytes(b"")
+    with pytest.raises(AnalysisException):
+        bronze.pending_files(spark, str(drifting), str(tmp_path / "plain"))
 
 
 def test_raw_scan_is_text_in_latin_1(spark, drifting):
