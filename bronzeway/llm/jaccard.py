@@ -11,6 +11,7 @@ from __future__ import annotations
 import math
 import re
 from functools import lru_cache
+from itertools import groupby
 from typing import NamedTuple
 
 import numpy as np
@@ -186,10 +187,15 @@ def verify(sets: list[np.ndarray], percent: int) -> np.ndarray:
 
 
 PAYLOAD = np.dtype([("who", "<u8")])
+#: Parts of the universe whose shingles are counted in a sketch.
+SKETCH = 64
+#: Members of a key that are told apart by their sketches in one task; a key with
+#: more keeps them all together.
+KEY_LIMIT = 4096
 
 
-def candidate_edges(texts: DataFrame, n: int, percent: int) -> DataFrame:
-    """(a, b) of nodes whose texts share an index key; ``texts`` has node and text."""
+def shared_keys(texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """(key, first, who) of index keys that several texts have; ``texts`` has node and text."""
 
     def make(node, text):
         tokens = shingles(text, n)
@@ -201,7 +207,98 @@ def candidate_edges(texts: DataFrame, n: int, percent: int) -> DataFrame:
     shared = repeated_keys(
         texts, ["node", "text"], make, PAYLOAD, "key bigint, first bigint, who bigint"
     )
-    return shared.filter("who <> first").select(F.col("who").alias("a"), F.col("first").alias("b"))
+    return shared
+
+
+def sketch(tokens: np.ndarray) -> bytes:
+    """How many shingles fall into each part of the universe, up to 255."""
+    counts = np.bincount((tokens >> np.uint64(58)).astype(np.int64), minlength=SKETCH)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def sketch_groups(sketches: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
+    """For each set the first one that it may be linked with, directly or over others.
+
+    Linked sets differ in few shingles, so their sketches differ by no more.
+    """
+    n = len(sizes)
+    root = np.full(n, -1, np.int64)
+    wide = sketches.astype(np.int16)
+    for first in range(n):
+        if root[first] >= 0:
+            continue
+        root[first] = first
+        front = [first]
+        while front:
+            u = front.pop()
+            left = np.flatnonzero(root < 0)
+            if not len(left):
+                break
+            apart = np.abs(wide[left] - wide[u]).sum(axis=1)
+            near = left[apart * (100 + percent) <= (sizes[left] + sizes[u]) * (100 - percent)]
+            root[near] = first
+            front.extend(near.tolist())
+    return root
+
+
+def refined_edges(members: DataFrame, keys: DataFrame, n: int, percent: int) -> DataFrame:
+    """(a, b) of the members of each key whose sketches allow a link.
+
+    ``members`` has node and text, ``keys`` key and who. Of keys with more than
+    KEY_LIMIT members all hang together.
+    """
+
+    def sketched(batches):
+        for batch in batches:
+            found = [shingles(t, n) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("node"),
+                    pa.array([sketch(s) for s in found], pa.binary()),
+                    pa.array([len(s) for s in found], pa.int64()),
+                ],
+                names=["who", "sketch", "size"],
+            )
+
+    sketches = members.select("node", "text").mapInArrow(
+        sketched, "who bigint, sketch binary, size bigint"
+    )
+    own = keys.join(sketches.select("who"), "who").select("key", "who")
+    per_key = own.groupBy("key").agg(F.count("*").alias("n"), F.min("who").alias("least"))
+    large = own.join(per_key.filter(F.col("n") > KEY_LIMIT), "key").select(
+        F.col("who").alias("a"), F.col("least").alias("b")
+    )
+    small = own.join(per_key.filter(F.col("n").between(2, KEY_LIMIT)).select("key"), "key")
+
+    def split(batches):
+        held: list[tuple] = []
+
+        def edges(rows):
+            who = np.array([r[1] for r in rows], np.int64)
+            table = np.frombuffer(b"".join(r[2] for r in rows), np.uint8).reshape(-1, SKETCH)
+            root = sketch_groups(table, np.array([r[3] for r in rows], np.int64), percent)
+            apart = np.flatnonzero(root != np.arange(len(rows)))
+            return who[apart], who[root[apart]]
+
+        def all_edges(groups):
+            found = [edges(g) for g in groups if len(g) > 1]
+            a, b = (np.concatenate([f[i] for f in found] or [np.empty(0, np.int64)]) for i in (0, 1))
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+        for batch in batches:
+            held += zip(*(batch.column(c).to_pylist() for c in ("key", "who", "sketch", "size")))
+            # The last key may go on in the next batch.
+            last = next((i for i in range(len(held), 0, -1) if held[i - 1][0] != held[-1][0]), 0)
+            yield all_edges(_runs(held[:last]))
+            held = held[last:]
+        yield all_edges(_runs(held))
+
+    dealt = small.join(sketches, "who").repartition("key").sortWithinPartitions("key", "who")
+    return dealt.select("key", "who", "sketch", "size").mapInArrow(split, "a bigint, b bigint").union(large)
+
+
+def _runs(rows: list[tuple]) -> list[list[tuple]]:
+    return [list(group) for _, group in groupby(rows, key=lambda r: r[0])]
 
 
 def _rows(docs: DataFrame, text: str, id: str) -> DataFrame:
@@ -215,10 +312,21 @@ def _placed(rows: DataFrame, n: int, percent: int) -> DataFrame:
     """(id, node, n_shingles, root) of every row; the root is a node of its component."""
     # Of equal texts one goes on; the first aggregation drops copies before the shuffle.
     texts = rows.select("node", "text").dropDuplicates(["node"])
-    edges = candidate_edges(rows.select("node", "text"), n, percent)
-    family = components(edges).withColumnRenamed("root", "family")
+    keys = stored(shared_keys(rows.select("node", "text"), n, percent), "keys")
+    together = keys.filter("who <> first").select(F.col("who").alias("a"), F.col("first").alias("b"))
+    family = components(together).withColumnRenamed("root", "family")
     members = stored(texts.join(family, "node"), "members")
-    linked = verified_edges(members, n, percent)
+    weight = _weights(members)
+    large = weight.filter(F.col("chars") > BLOCK_CHARS).select("family")
+    # Families of one block are verified as they are. Larger ones often hang
+    # together by keys that unlike texts share: there sketches are asked too.
+    again = stored(members.join(large, "family"), "large")
+    finer = components(refined_edges(again, keys.select("key", "who"), n, percent))
+    split = again.drop("family").join(finer.withColumnRenamed("root", "family"), "node")
+    kept = members.join(large, "family", "left_anti")
+    linked = verified_edges(kept.select("family", "node", "text"), n, percent).union(
+        verified_edges(split.select("family", "node", "text"), n, percent)
+    )
     root = components(linked.select("a", "b")).select("node", "root")
     sizes = stored(_sizes(rows.select("id", "node", "text"), n), "sizes")
     return sizes.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -296,6 +404,10 @@ def _sizes(rows: DataFrame, n: int) -> DataFrame:
     return rows.mapInArrow(run, f"id {kind}, node bigint, n_shingles bigint")
 
 
+def _weights(members: DataFrame) -> DataFrame:
+    return members.groupBy("family").agg(F.sum(F.length("text") + 64).alias("chars"))
+
+
 def verified_edges(members: DataFrame, n: int, percent: int) -> DataFrame:
     """(a, b): each text of a family (family, node, text) with the first of its component.
 
@@ -303,7 +415,7 @@ def verified_edges(members: DataFrame, n: int, percent: int) -> DataFrame:
     meet in one task: all pairs are looked at, whatever the family's size, and no
     task holds more than two blocks.
     """
-    weight = members.groupBy("family").agg(F.sum(F.length("text") + 64).alias("chars"))
+    weight = _weights(members)
     cut = members.join(
         weight.select("family", F.ceil(F.col("chars") / BLOCK_CHARS).cast("int").alias("blocks")),
         "family",
@@ -320,7 +432,7 @@ def verified_edges(members: DataFrame, n: int, percent: int) -> DataFrame:
         "text",
     )
 
-    def group(_key, frame: pd.DataFrame) -> pd.DataFrame:
+    def group(frame: pd.DataFrame) -> pd.DataFrame:
         root = verify([shingles(t, n) for t in frame["text"]], percent)
         nodes = frame["node"].to_numpy()
         return pd.DataFrame({"a": nodes, "b": nodes[root]})

@@ -50,6 +50,20 @@ def test_small_blocks_change_nothing(spark, monkeypatch):
     whole = sorted(map(tuple, jaccard.link_components(docs).collect()), key=key)
     monkeypatch.setattr(jaccard, "BLOCK_CHARS", 900)
     assert sorted(map(tuple, jaccard.link_components(docs).collect()), key=key) == whole
+    monkeypatch.setattr(jaccard, "KEY_LIMIT", 2)
+    assert sorted(map(tuple, jaccard.link_components(docs).collect()), key=key) == whole
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.sets(st.integers(0, 40), min_size=1), min_size=1, max_size=10), st.integers(40, 100))
+def test_sketches_part_no_linked_sets(sets, percent):
+    arrays = [common.mix64(np.array(sorted(s), np.uint64) + np.uint64(7)) for s in sets]
+    table = np.frombuffer(b"".join(map(jaccard.sketch, arrays)), np.uint8).reshape(-1, jaccard.SKETCH)
+    root = jaccard.sketch_groups(table, np.array([len(s) for s in sets]), percent)
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            if 100 * len(a & b) >= percent * len(a | b):
+                assert root[i] == root[j]
 
 
 def test_one_row_of_each_component_stays(spark):
