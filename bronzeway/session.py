@@ -66,7 +66,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local["):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "-scratch"
         spark.conf.set("spark.checkpoint.dir", base)
