@@ -32,7 +32,7 @@ BAND_RATIO = 1.3
 FALSE_COST = 400.0
 SHARED = 0.4
 #: Characters of a block; a family of more is verified block against block.
-BLOCK_CHARS = 6 << 20
+BLOCK_CHARS = 4 << 20
 
 
 def shingles(text: str | None, n: int) -> np.ndarray:
@@ -437,4 +437,7 @@ def verified_edges(members: DataFrame, n: int, percent: int) -> DataFrame:
         nodes = frame["node"].to_numpy()
         return pd.DataFrame({"a": nodes, "b": nodes[root]})
 
-    return met.groupBy("family", "i", "j").applyInPandas(group, "a bigint, b bigint")
+    # The join above has dealt by family alone: without this all pairs of blocks of
+    # a family would be one task's.
+    dealt = met.repartition("family", "i", "j")
+    return dealt.groupBy("family", "i", "j").applyInPandas(group, "a bigint, b bigint")
