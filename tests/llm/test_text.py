@@ -2,6 +2,7 @@
 
 from collections import Counter
 
+import pyarrow.parquet as pq
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -92,6 +93,30 @@ def test_fertility_by_hand():
     assert quality.fertility(encoding, spelled, None) == (0, 0.0, 0.0, 0.0)
 
 
+@pytest.mark.parametrize("lang", ["en", "de", "fr", "es"])
+def test_long_clean_texts_are_inside_the_bands(lang):
+    encoding, spelled = quality._vocabularies(quality.read_model(quality.RANKS), MODEL)
+    table = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text", "lang"]).to_pylist()
+    clean = [r["text"] for r in table if r["lang"] == lang and r["text"] and not quality.base_measures(r["text"])[-1]]
+    joined = "\n".join(t for t in clean if quality.judge(t, lang, *quality.fertility(encoding, spelled, t)))
+    joined *= -(-4_000_000 // len(joined))
+    for size in (10_000, 100_000, 300_000, 1_000_000, 4_000_000):
+        assert quality.judge(joined[:size], lang, *quality.fertility(encoding, spelled, joined[:size]))
+
+
+def test_a_long_real_document_is_kept(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").filter("doc_id = 634")
+    row = quality.measure(docs).first()
+    assert row.n_tokens > 40_000 and row.kept
+
+
+def test_few_kinds_of_tokens_are_outside_of_the_bands():
+    encoding, spelled = quality._vocabularies(quality.read_model(quality.RANKS), MODEL)
+    for size in (100, 10_000):
+        dull = "the of and to in " * size
+        assert not quality.judge(dull, "en", *quality.fertility(encoding, spelled, dull))
+
+
 def test_scripts():
     assert [quality.script_of(t) for t in ("abc é", "привет a", "αβγ a", "日本語 a", "123", "")] == [
         "latin", "cyrillic", "greek", "other", "other", "other",
