@@ -1,8 +1,9 @@
 """Substring dedup over sliding spans of sentences.
 
 Every run of several consecutive sentences is hashed and joined with all equal
-runs. The first run in document order stays; sentences that any other repeated
-run covers are removed.
+runs, and so is every shorter run of many words and every text of few sentences.
+The first run in document order stays; sentences that any other repeated run
+covers are removed.
 """
 
 from __future__ import annotations
@@ -20,10 +21,14 @@ from bronzeway.llm.common import mix64, repeated_keys, stored
 SENTENCES = 3
 #: Runs with fewer words ("Is it. It is. No.") repeat by chance.
 LEAST_WORDS = 6
+#: Shorter runs are evidence with so many words.
+LONG_WORDS = 50
 END = re.compile(r"(?<=[.!?])\s+|\s*\n\s*")
 
-PAYLOAD = np.dtype([("who", "<i8"), ("text_key", "<i8"), ("at", "<u4")])
+PAYLOAD = np.dtype([("who", "<i8"), ("text_key", "<i8"), ("at", "<u4"), ("n", "<u4")])
 LAST = 2**63 - 1
+#: Marks the hashes of whole texts.
+WHOLE = 1 << 32
 
 
 def sentences(text: str | None) -> list[tuple[int, int]]:
@@ -44,18 +49,34 @@ def sentences(text: str | None) -> list[tuple[int, int]]:
     return found
 
 
-def run_hashes(text: str | None, n: int, least_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, number of its first sentence) of all runs of ``n`` sentences."""
+def run_hashes(
+    text: str | None, n: int, least_words: int, long_words: int = LONG_WORDS
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, number of its first sentence, sentences) of all runs that are evidence.
+
+    Runs of ``n`` sentences with ``least_words``, runs of fewer with ``long_words``,
+    and the whole text, with ``least_words``, if it has fewer than ``n`` sentences.
+    Equal hashes are runs of as many sentences.
+    """
     parts = [text[a:b].strip() for a, b in sentences(text)]
-    if len(parts) < n:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
     ids = np.fromiter(map(xxhash.xxh3_64_intdigest, parts), np.uint64, len(parts))
     words = np.cumsum([0, *(len(p.split()) for p in parts)])
-    total = np.full(len(parts) - n + 1, n, np.uint64)
-    for i in range(n):
-        total = mix64(total + ids[i : i + len(total)])
-    at = np.flatnonzero(words[n:] - words[:-n] >= least_words)
-    return total[at], at
+    keys, starts, sizes = [], [], []
+    for size in range(1, min(n, len(parts)) + 1):
+        total = np.full(len(parts) - size + 1, size, np.uint64)
+        for i in range(size):
+            total = mix64(total + ids[i : i + len(total)])
+        least = least_words if size == n else long_words
+        at = np.flatnonzero(words[size:] - words[:-size] >= least)
+        if size == len(parts) < n and not len(at) and words[-1] >= least_words:
+            # Compared with whole texts only.
+            at, total = np.zeros(1, np.int64), mix64(total + np.uint64(WHOLE))
+        keys.append(total[at])
+        starts.append(at)
+        sizes.append(np.full(len(at), size, np.int64))
+    if not keys:
+        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+    return np.concatenate(keys), np.concatenate(starts), np.concatenate(sizes)
 
 
 def remove_repeated_spans(
@@ -64,15 +85,17 @@ def remove_repeated_spans(
     id: str = "doc_id",
     n: int = SENTENCES,
     least_words: int = LEAST_WORDS,
+    long_words: int = LONG_WORDS,
 ) -> DataFrame:
     """Add ``n_sentences``, ``n_removed`` and ``kept`` (the text without them).
 
-    Runs of ``n`` sentences with at least ``least_words`` words are compared over
-    all documents, and within one. The first is the one with the smallest id (NULL
+    Runs of ``n`` sentences with at least ``least_words`` words, and runs of fewer
+    with at least ``long_words``, are compared over all documents, and within one;
+    whole texts of fewer than ``n`` sentences and at least ``least_words`` words with each other. The first is the one with the smallest id (NULL
     is last), then text, then place; sentences covered by another one go, with the
     white space behind them.
 
-    Texts with fewer than ``n`` sentences stay. A NULL text has no sentences and
+    A NULL text has no sentences and
     stays NULL. Rows with the same id and text count as one row and get the same
     result. Input columns of the added names are replaced, others pass through.
     """
@@ -85,9 +108,9 @@ def remove_repeated_spans(
     )
 
     def make(row, text_key, value):
-        keys, at = run_hashes(value, n, least_words)
+        keys, at, size = run_hashes(value, n, least_words, long_words)
         held = np.empty(len(keys), PAYLOAD)
-        held["who"], held["text_key"], held["at"] = row, text_key, at
+        held["who"], held["text_key"], held["at"], held["n"] = row, text_key, at, size
         return keys, held
 
     names = ("key", "first", *PAYLOAD.names)
@@ -101,10 +124,10 @@ def remove_repeated_spans(
     firsts = same.groupBy("key").agg(F.min(place).alias("least"))
     others = same.join(firsts, "key").filter(place != F.col("least"))
     covered = (
-        others.select("who", "text_key", "at")
+        others.select("who", "text_key", "at", "n")
         .distinct()
         .groupBy(F.col("who").alias(who), F.col("text_key").alias(key))
-        .agg(F.collect_list("at").alias("_runs"))
+        .agg(F.collect_list(F.struct("at", "n")).alias("_runs"))
     )
     joined = rows.join(covered, [who, key], "left")
     keep = [c for c in docs.columns if c not in ("n_sentences", "n_removed", "kept")]
@@ -115,8 +138,8 @@ def remove_repeated_spans(
             for value, starts in zip(batch.column(text).to_pylist(), batch.column("_runs").to_pylist()):
                 found = sentences(value)
                 gone = np.zeros(len(found), bool)
-                for at in starts or ():
-                    gone[at : at + n] = True
+                for run in starts or ():
+                    gone[run["at"] : run["at"] + run["n"]] = True
                 kept = value
                 if gone.any():
                     kept = "".join(value[a:b] for (a, b), g in zip(found, gone) if not g)

@@ -250,3 +250,21 @@ def test_connected_components(spark):
     pairs = {(find(x), got[x]) for x in parent}
     assert len(pairs) == len({p for p, _ in pairs}) == len({r for _, r in pairs})
     assert common.components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_long_runs_and_whole_short_texts_are_evidence(spark):
+    long = lambda c, k=60: " ".join(f"{c}{i}" for i in range(k)) + "."
+    rows = [
+        (1, f"First here. {long('a')} Second here."), (2, f"Other words. {long('a')} Last of it."),  # one sentence
+        (3, f"Up. {long('b', 30)} {long('c', 30)} Down."), (4, f"Left. {long('b', 30)} {long('c', 30)} Right."),  # two
+        (5, "A short text of seven words here"), (6, "A short text of seven words here"), (7, "Tiny."), (8, "Tiny."),
+        (9, "Two of them. It is so."), (10, "Two of them. It is so."), (11, "Tiny. Two of them. It is so."),
+        (12, f"Early. {long('d', 40)} Late."), (13, f"Soon. {long('d', 40)} Then."),  # too few words for one sentence
+        (14, long("e", 70).rstrip(".")), (15, long("e", 70).rstrip(".")), (15, long("e", 70).rstrip(".")),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in spans.remove_repeated_spans(docs).collect()}
+    text = dict(rows)
+    gone = {2: "Other words. Last of it.", 4: "Left. Right.", 6: "", 10: "", 15: ""}
+    assert {i: r.kept for i, r in got.items()} == {**text, **gone}
+    assert {i: r.n_removed for i, r in got.items() if r.n_removed} == {2: 1, 4: 2, 6: 1, 10: 2, 15: 1}
