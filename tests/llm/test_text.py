@@ -51,6 +51,11 @@ def test_encode_all_rows(spark, monkeypatch):
     assert spm.encode(docs.limit(0), MODEL).collect() == []
 
 
+def test_every_text_is_verified_by_default(spark):
+    docs = spark.createDataFrame([(i, f"text number {i} of many") for i in range(60)], "doc_id long, text string")
+    assert {r.parity for r in spm.encode(docs, MODEL).collect()} == {True}
+
+
 # --- quality ---------------------------------------------------------------------
 
 
