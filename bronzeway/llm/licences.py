@@ -20,6 +20,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bronzeway.llm.common import fresh
+
 NONE, UNKNOWN = "none", "unknown"
 #: Bins of the hashed n-grams.
 BINS = 1 << 13
@@ -113,6 +115,11 @@ def paragraphs(text: Column) -> Column:
     return F.filter(F.split(text, r"\s*\n\s*"), lambda p: F.trim(p) != "")
 
 
+def blocks(text: Column) -> Column:
+    """Parts between blank lines; their lines are those of ``paragraphs``."""
+    return F.filter(F.split(text, r"\s*\n[^\S\n]*\n\s*"), lambda b: F.trim(b) != "")
+
+
 @dataclass(frozen=True)
 class Model:
     """Weights by bin and class, with what the held-out rows say."""
@@ -235,10 +242,13 @@ def scan(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """Add ``licences``: array of (paragraph, family, probability) of each text.
 
     Every paragraph (line that isn't blank, counted from 0) of every whole text is
-    scored. It is listed if the calibrated classifier holds it for a licence: with
+    scored, and so are the lines between blank ones as a whole, which wrapped
+    notices need. A line is listed if the calibrated classifier holds it for a licence: with
     a family's name if that is the likeliest class, has at least
     LEAST_PROBABILITY, and a template of the family is found in it; else as
-    unknown. NULL and empty texts list nothing; repeated rows are scanned each; an
+    unknown. Lines together are listed by their first one, in place of their
+    unknown lines, if they have a family by the same rule that none of them has
+    by itself. NULL and empty texts list nothing; repeated rows are scanned each; an
     input column ``licences`` is replaced.
     """
     k = len(model.classes)
@@ -300,8 +310,51 @@ def scan(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             F.round(probability, 4).alias("probability"),
         )
 
-    parts = F.transform(F.transform(paragraphs(F.coalesce(text, F.lit(""))), read), look_up)
-    # Paragraphs without any n-gram that has a weight are what the bias says: none.
-    scored = F.transform(F.filter(parts, lambda p: F.size(p["found"]) > 0), decide)
-    likely = F.filter(scored, lambda p: F.element_at(p["raw"], k) < F.array_max(p["raw"]))
-    return docs.withColumn("licences", F.transform(likely, name))
+    def named(candidates: Column) -> Column:
+        parts = F.transform(F.transform(candidates, read), look_up)
+        # Paragraphs without any n-gram that has a weight are what the bias says: none.
+        scored = F.transform(F.filter(parts, lambda p: F.size(p["found"]) > 0), decide)
+        likely = F.filter(scored, lambda p: F.element_at(p["raw"], k) < F.array_max(p["raw"]))
+        return F.transform(likely, name)
+
+    lines, whole, sizes = fresh("_lines", docs.columns), fresh("_whole", docs.columns), fresh("_sizes", docs.columns)
+    value = F.coalesce(text, F.lit(""))
+    known = docs.withColumns(
+        {
+            lines: named(paragraphs(value)),
+            # A block of one line is that line.
+            whole: named(F.transform(blocks(value), lambda b: F.when(b.contains("\n"), b).otherwise(""))),
+            sizes: F.transform(blocks(value), lambda b: F.size(paragraphs(b))),
+        }
+    )
+
+    def place(block: Column) -> Column:
+        before = F.slice(F.col(sizes), F.lit(1), block["paragraph"].cast("int"))
+        start = F.aggregate(before, F.lit(0), lambda a, n: a + n)
+        return F.struct(
+            start.alias("paragraph"),
+            block["family"].alias("family"),
+            block["probability"].alias("probability"),
+            (start + F.get(F.col(sizes), block["paragraph"])).alias("end"),
+        )
+
+    def among(line: Column, block: Column) -> Column:
+        return (line["paragraph"] >= block["paragraph"]) & (line["paragraph"] < block["end"])
+
+    placed = F.transform(F.filter(F.col(whole), lambda b: b["family"] != UNKNOWN), place)
+    known = known.withColumn(whole, placed)
+    own = F.filter(
+        F.col(whole),
+        lambda b: ~F.exists(F.col(lines), lambda x: among(x, b) & (x["family"] == b["family"])),
+    )
+    known = known.withColumn(whole, own)
+    left = F.filter(
+        F.col(lines),
+        lambda x: (x["family"] != UNKNOWN) | ~F.exists(F.col(whole), lambda b: among(x, b)),
+    )
+    added = F.transform(
+        F.col(whole),
+        lambda b: F.struct(b["paragraph"].alias("paragraph"), b["family"].alias("family"), b["probability"].alias("probability")),
+    )
+    listed = F.when(F.size(F.col(whole)) == 0, F.col(lines)).otherwise(F.array_sort(F.concat(left, added)))
+    return known.withColumn("licences", listed).drop(lines, whole, sizes)

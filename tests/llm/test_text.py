@@ -158,6 +158,41 @@ def test_scan_of_rows(spark, model):
     assert licences.scan(docs.limit(0), model).collect() == []
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 A. Person
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software.
+"""
+APACHE = """# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions
+are met:
+
+1. Some.
+"""
+
+
+def test_wrapped_notices_are_found(spark, model):
+    plain = "It was a long walk\nto the river and back."
+    rows = [("mit", MIT), ("apache", APACHE), ("bsd", BSD), ("mit", f"{plain}\n\n{MIT}\n{plain}"), ("bsd", f"{plain}\n\n{BSD}"), ("", plain)]
+    docs = spark.createDataFrame(rows, "family string, text string")
+    for r in licences.scan(docs, model).collect():
+        found = [x.family for x in r.licences if x.family != "unknown"]
+        assert set(found) == ({r.family} if r.family else set()), r
+    at = licences.scan(docs.filter("text like 'It was%Redistribution%'"), model).first().licences
+    assert [(x.paragraph, x.family) for x in at if x.family == "bsd"] == [(2, "bsd")]
+
+
 def test_scan_uses_no_python_workers(spark, model):
     docs = spark.createDataFrame([(1, "x")], "doc_id long, text string")
     plan = licences.scan(docs, model)._jdf.queryExecution().executedPlan().toString()
