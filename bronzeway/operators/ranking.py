@@ -6,9 +6,14 @@ map side and leave the rows where they are, so no frame is gathered in one task.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bronzeway.sources.tables import stored
+
 
 def top_table(
     df: DataFrame, key: str, measure: str, n: int = 15, value_alias: str | None = None
@@ -76,6 +81,29 @@ def top_n_with_others(
     )
 
 
+def with_position(
+    df: DataFrame, order: Sequence[Column | str], out: str = "position"
+) -> DataFrame:
+    """Every row with its place, from 1, in the order of all rows.
+
+    Rows are dealt by ranges of the order and numbered in their partition; what
+    is in front of a partition is the sum of the counts before it, one number a
+    partition. Equal rows are told apart by where they were read, so that a key
+    most rows have is cut over many partitions too; which of them comes first is
+    open. The numbered rows are stored: both passes must see the same ranges.
+    """
+    tie = "".join(["_tie", *df.columns])
+    rows = df.withColumn(tie, F.monotonically_increasing_id())
+    dealt = rows.repartitionByRange(*order, tie).sortWithinPartitions(*order, tie)
+    numbered = stored(dealt.drop(tie).withColumn(out, F.monotonically_increasing_id()), "numbered")
+    # A row's id is its partition and, in the lower 33 bits, its place there.
+    part, place = F.shiftright(out, 33), F.col(out).bitwiseAND((1 << 33) - 1)
+    counts = dict(numbered.groupBy(part.cast("int").alias("part")).agg(F.count("*")).collect())
+    sizes = [counts.get(i, 0) for i in range(max(counts, default=0) + 1)]
+    fronts = F.from_json(F.lit(str([0, *accumulate(sizes)])), "array<bigint>")
+    return numbered.withColumn(out, F.get(fronts, part.cast("int")) + place + 1)
+
+
 def flag_max(df: DataFrame, measure: str, out: str = "is_max") -> DataFrame:
     """Marks every row that equals the maximum; largest first."""
     largest = df.agg(F.max(measure)).scalar()

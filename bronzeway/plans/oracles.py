@@ -377,6 +377,11 @@ ORACLES = {
         + ")) WHERE place <= 200"
     ),
     "distinct_values": "SELECT DISTINCT o_orderpriority FROM orders",
+    "position_all": (
+        "SELECT o_orderkey, QT_PRECO, round(QT_PRECO / sum(QT_PRECO) OVER (), 6) AS PERCENTUAL,"
+        " row_number() OVER (ORDER BY QT_PRECO DESC NULLS LAST, o_orderkey) AS position"
+        " FROM (SELECT o_orderkey, cast(round(o_totalprice) AS bigint) AS QT_PRECO FROM orders)"
+    ),
     "peek_rows": "SELECT o_orderkey, o_orderstatus FROM orders ORDER BY o_orderkey LIMIT 200",
     "sample_rows": (
         "SELECT o_orderkey, o_custkey FROM orders WHERE cast('0x' ||"

@@ -565,6 +565,18 @@ def share_of_total(spark, sf):
     return _rounded(ranking.share_of_total(sums, COUNT), "PERCENTUAL")
 
 
+@query
+def position_all(spark, sf):
+    """The place of every order, largest price first, beside its share of all prices."""
+    orders = _orders(spark, sf).select(
+        "o_orderkey", F.round("o_totalprice").cast("bigint").alias("QT_PRECO")
+    )
+    shares = ranking.share_of_total(orders, "QT_PRECO")
+    return _rounded(
+        ranking.with_position(shares, [F.desc_nulls_last("QT_PRECO"), "o_orderkey"]), "PERCENTUAL"
+    )
+
+
 @query
 def rate_top10(spark, sf):
     rows = _gold(spark, sf, "DS_TIPO", "QT_TOTAL_MORTOS", "QT_TOTAL_PESSOAS")

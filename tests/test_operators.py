@@ -293,3 +293,17 @@ def test_dissolve_equals_brute_force(spark):
 def test_a_key_without_lines_stays(spark):
     df = spark.createDataFrame([("101", [])], "k string, parts array<array<array<double>>>")
     assert rows(geo.dissolve_parts(df, "k")) == [("101", None)]
+
+
+def test_with_position(spark):
+    values = [None, 3, 1, 3, None, 2] * 50 + [7]
+    df = spark.createDataFrame([(v, str(i)) for i, v in enumerate(values)], "v int, _tie string")
+    got = rows(ranking.with_position(df.repartition(5), [F.desc_nulls_last("v"), "_tie"]))
+    expected = sorted(enumerate(values), key=lambda e: (e[1] is None, -(e[1] or 0), str(e[0])))
+    assert sorted(got, key=lambda r: r[2]) == [(v, str(i), n) for n, (i, v) in enumerate(expected, 1)]
+    # Without a difference in the order every place is given once; no rows stay none.
+    same = spark.range(1000).select(F.lit(1).alias("position"))
+    placed = ranking.with_position(same, ["position"])
+    assert placed.columns == ["position"]
+    assert sorted(r[0] for r in placed.collect()) == list(range(1, 1001))
+    assert rows(ranking.with_position(df.limit(0), ["v"])) == []

@@ -1,8 +1,9 @@
 """What the physical plans must and must not hold."""
 
 import pytest
+from pyspark.sql import functions as F
 
-from bronzeway.operators import profile
+from bronzeway.operators import profile, ranking
 from bronzeway.plans import accidents, roles
 from bronzeway.plans.queries import QUERIES
 from bronzeway.session import scratch_path
@@ -64,3 +65,12 @@ def test_first_values_are_ranked_in_parts(spark):
     first = sorted(str(i) for i in range(100_000))[:1001]
     assert sorted(r.value for r in rows if r.column == "a") == first
     assert sorted(r.value for r in rows if r.column == "b") == list("0123456")
+
+
+def test_places_are_given_without_one_task_for_all(spark):
+    df = spark.range(10_000).withColumn("key", F.col("id") % 3)
+    text = plan(ranking.with_position(df, ["key"]))
+    for operator in ("Window", "SinglePartition", "Join"):
+        assert operator not in text
+    placed = ranking.with_position(df, ["key"])
+    assert placed.select(F.max("position")).first()[0] == 10_000
