@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bronzeway.llm import decontam, html, jaccard, licences, quality, spans, spm, suffixes, urls, warc
+from bronzeway.llm import (
+    decontam,
+    html,
+    jaccard,
+    licences,
+    merkle,
+    quality,
+    spans,
+    spm,
+    suffixes,
+    urls,
+    warc,
+)
 from bronzeway.llm.common import ready, stored
 from bronzeway.sources.tables import read_table
 
@@ -195,3 +207,80 @@ def op7_licence_scan(spark, sf):
         F.array_join(F.array_sort(F.array_distinct("licences.family")), " ").alias("families"),
         "licences",
     )
+
+
+# --- 11 ----------------------------------------------------------------------
+
+
+def tampered_manifest(docs: DataFrame) -> DataFrame:
+    """Proofs of all rows, held against leaves some of which were tampered with."""
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    changed = [F.col("n_chars") + 1 if c == "n_chars" else F.col(c) for c in docs.select(*fields).columns]
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    seen = F.when(hit, merkle.leaf_digest(*changed)).alias("seen")
+    rows = merkle.manifest(docs, merkle.leaf_digest(*fields), carry=[seen])
+    seen = F.coalesce("seen", "leaf")
+    return rows.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle.proof_digest(F.col("proof")).alias("proof_sha256"),
+        merkle.folded(seen, F.col("proof")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query
+def op11_merkle_manifest(spark, sf):
+    return tampered_manifest(table(spark, sf, "documents"))
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of ASCII text, bit by bit."""
+    step = "xor(c, x)"
+    bits = "list_reduce(list_prepend({0}, [0, 0, 0, 0, 0, 0, 0, 0]), lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)"
+    return (
+        "xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, "
+        f"list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT)), "
+        f"lambda c, x: {bits.format(step)}))"
+    )
+
+
+def _leaf_sql(n_chars: str) -> str:
+    fields = ("doc_id", "source", "lang", n_chars, "text")
+    parts = (f"coalesce(strlen(({f})::VARCHAR) || ':' || ({f})::VARCHAR, '-')" for f in fields)
+    return f"sha256({' || '.join(parts)})"
+
+
+ORACLES["op11_merkle_manifest"] = f"""
+WITH RECURSIVE l AS (SELECT doc_id, lang, {_leaf_sql("n_chars")} AS h,
+    CASE WHEN {_crc32("doc_id::VARCHAR")} % 7 = 0 THEN {_leaf_sql("n_chars + 1")} END AS seen
+  FROM documents),
+p AS (SELECT doc_id, h, coalesce(seen, h) AS seen, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS t,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, h) - 1 AS pos,
+    count(*) OVER (PARTITION BY lang) AS n FROM l),
+g(t, k, pos, h, n) AS (SELECT t, 0, pos, h, n FROM p
+  UNION ALL SELECT t, k + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (n + 1) // 2
+  FROM g WHERE n > 1 GROUP BY t, k, pos // 2, n),
+s AS (SELECT t, k AS depth, h FROM g WHERE n = 1),
+u(k, pos, h, n) AS (SELECT 0, t, h, count(*) OVER () FROM s
+  UNION ALL SELECT k + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (n + 1) // 2
+  FROM u WHERE n > 1 GROUP BY k, pos // 2, n),
+w(doc_id, h, t, k, pos, seen, proof) AS (
+  SELECT doc_id, h, t, 0, pos, seen, '' FROM p
+  UNION ALL SELECT w.doc_id, w.h, w.t, w.k + 1, w.pos // 2,
+    CASE WHEN g.h IS NULL THEN sha256(w.seen) WHEN w.pos % 2 = 0 THEN sha256(w.seen || g.h) ELSE sha256(g.h || w.seen) END,
+    w.proof || coalesce(g.h, '')
+  FROM w JOIN s ON s.t = w.t AND w.k < s.depth
+    LEFT JOIN g ON g.t = w.t AND g.k = w.k AND g.pos = xor(w.pos, 1)),
+v(doc_id, h, t, k, pos, seen, proof) AS (
+  SELECT w.doc_id, w.h, w.t, 0, w.t, w.seen, w.proof FROM w JOIN s ON s.t = w.t AND w.k = s.depth
+  UNION ALL SELECT v.doc_id, v.h, v.t, v.k + 1, v.pos // 2,
+    CASE WHEN u.h IS NULL THEN sha256(v.seen) WHEN v.pos % 2 = 0 THEN sha256(v.seen || u.h) ELSE sha256(u.h || v.seen) END,
+    v.proof || coalesce(u.h, '')
+  FROM v LEFT JOIN u ON u.k = v.k AND u.pos = xor(v.pos, 1)
+  WHERE v.k < (SELECT max(k) FROM u))
+SELECT v.doc_id, v.h AS leaf, s.h AS subroot, r.h AS root, sha256(v.proof) AS proof_sha256,
+  v.seen AS folded_root, v.seen = r.h AS verified
+FROM v JOIN s ON s.t = v.t, (SELECT h FROM u WHERE n = 1) r WHERE v.k = (SELECT max(k) FROM u)
+"""
