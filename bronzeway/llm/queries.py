@@ -13,6 +13,7 @@ from bronzeway.llm import (
     jaccard,
     licences,
     merkle,
+    negatives,
     quality,
     spans,
     spm,
@@ -284,3 +285,33 @@ SELECT v.doc_id, v.h AS leaf, s.h AS subroot, r.h AS root, sha256(v.proof) AS pr
   v.seen AS folded_root, v.seen = r.h AS verified
 FROM v JOIN s ON s.t = v.t, (SELECT h FROM u WHERE n = 1) r WHERE v.k = (SELECT max(k) FROM u)
 """
+
+
+# --- 12 ----------------------------------------------------------------------
+
+
+@query
+def op12_hard_negatives(spark, sf):
+    vectors = table(spark, sf, "embeddings").select("vec_id", "embedding", "label")
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(vectors, F.col("vec_id") % 50 == 0, noisy)
+
+
+ORACLES["op12_hard_negatives"] = """
+WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+    list_inner_product(a.v::DOUBLE[], b.v::DOUBLE[])::BIGINT AS score
+  FROM r a JOIN r b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT p.anchor_id, positive_id, (row_number() OVER w)::INT AS rank, other AS negative_id,
+  positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same
+  AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other)
+QUALIFY row_number() OVER w <= 3
+"""

@@ -15,7 +15,7 @@ from .test_dedup import spans_by_hand
 from .test_text import ORIGINAL, base_by_hand
 
 SF_DIR = "/root/testdata/sf0.001"
-TABLES = ("documents", "pages", "benchmark", "labels")
+TABLES = ("documents", "pages", "benchmark", "labels", "embeddings")
 
 
 @pytest.fixture(scope="module")
@@ -42,7 +42,7 @@ def test_query_equals_sql(spark, oracle, name):
 
 
 def test_registered():
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 12))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 13))
     assert "pipeline" in driver.queries() and set(QUERIES) <= set(driver.queries())
     assert len(corpus_pipeline.STAGES) == 5
 
