@@ -13,6 +13,7 @@ from bronzeway.llm import (
     jaccard,
     licences,
     merkle,
+    mixing,
     negatives,
     quality,
     spans,
@@ -315,3 +316,12 @@ FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same
 WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other)
 QUALIFY row_number() OVER w <= 3
 """
+
+
+# --- 13 ----------------------------------------------------------------------
+
+
+@query
+def op13_source_mix(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "source", "text")
+    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")

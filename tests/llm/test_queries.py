@@ -42,7 +42,7 @@ def test_query_equals_sql(spark, oracle, name):
 
 
 def test_registered():
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 13))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
     assert "pipeline" in driver.queries() and set(QUERIES) <= set(driver.queries())
     assert len(corpus_pipeline.STAGES) == 5
 
