@@ -192,42 +192,64 @@ def test_anchors_split_all_windows(text, length):
 def spans_by_hand(rows, n, least):
     parts = {}
     for key, text in rows:
-        cut = [(text[a:b], text[a:b].strip()) for a, b in spans.sentences(text)] if text else []
+        cut = [(text[a:b], text[a:b].strip()) for a, b in spans.sentences(text)[0]] if text else []
         parts[key, text] = cut
     where = {}
     order = sorted(parts, key=lambda k: (k[0] is None, k[0] or 0))
     for k in order:
         plain = [p for _, p in parts[k]]
-        for i in range(len(plain) - n + 1):
-            run = tuple(plain[i : i + n])
-            if sum(len(p.split()) for p in run) >= least:
-                where.setdefault(run, []).append((k, i))
+        runs = []
+        for i in range(len(plain)):
+            for j in range(i + n, len(plain) + 1):
+                if sum(len(p.split()) for p in plain[i:j]) >= least:
+                    runs.append((i, j, False))
+                    break
+        if runs and runs[-1][1] < len(plain):
+            runs.append((runs[-1][0], len(plain), False))
+        for i, j, whole in runs or [(0, len(plain), True)]:
+            where.setdefault((whole, *plain[i:j]), []).append((k, i, j))
     gone = {}
     for places in where.values():
-        for k, i in places[1:]:
-            gone.setdefault(k, set()).update(range(i, i + n))
+        for k, i, j in places[1:]:
+            gone.setdefault(k, set()).update(range(i, j))
     return {
         k: (len(c), len(gone.get(k, ())), "".join(t for i, (t, _) in enumerate(c) if i not in gone.get(k, ())) if gone.get(k) else k[1])
         for k, c in parts.items()
     }
 
 
-def test_spans_equal_brute_force(spark):
+@pytest.mark.parametrize("least, removed", [(6, 20), (spans.LEAST_WORDS, 5)])
+def test_spans_equal_brute_force(spark, least, removed):
     rng = random.Random(4)
     pool = [" ".join(rng.choice(["ab", "cd", "ef"]) for _ in range(rng.randint(1, 6))) + rng.choice(".!?") for _ in range(14)]
     rows = [(i, rng.choice(["", "\n"]) + rng.choice([" ", "\n"]).join(rng.choice(pool) for _ in range(rng.randint(0, 14)))) for i in range(40)]
     rows += [(50, None), (51, ""), (52, "  "), (53, "no end"), (None, rows[0][1] + " x.")]
     docs = spark.createDataFrame([(*r, "z") for r in rows], "doc_id long, text string, kept string")
-    got = spans.remove_repeated_spans(docs).collect()
-    expected = spans_by_hand(rows, spans.SENTENCES, spans.LEAST_WORDS)
+    got = spans.remove_repeated_spans(docs, least_words=least).collect()
+    expected = spans_by_hand(rows, spans.SENTENCES, least)
     assert {(r.doc_id, r.text): (r.n_sentences, r.n_removed, r.kept) for r in got} == expected
-    assert sum(n for _, n, _ in expected.values()) > 20
+    assert sum(n for _, n, _ in expected.values()) > removed
 
 
 @settings(max_examples=100, deadline=None)
 @given(st.text("ab. !\n", max_size=40))
 def test_sentences_make_up_the_text(text):
-    assert "".join(text[a:b] for a, b in spans.sentences(text)) == ("" if text.isspace() else text)
+    cuts, words = spans.sentences(text)
+    assert "".join(text[a:b] for a, b in cuts) == ("" if text.isspace() else text)
+    assert words == [len(text[a:b].split()) for a, b in cuts]
+
+
+def test_long_sentences_are_cut_by_their_words_alone():
+    rng = random.Random(5)
+    passage = [rng.choice("abcdefgh") + str(rng.randrange(1000)) + ("," if rng.random() < 0.1 else "") for _ in range(300)]
+    found = []
+    for before, after in ("x " * 30, " y" * 40), ("z " * 7, ""):
+        text = before + " ".join(passage) + after
+        cuts, words = spans.sentences(text)
+        assert max(words) < 60
+        found.append([text[a:b].strip() for a, b in cuts])
+    assert len(set(found[0]) & set(found[1])) >= min(map(len, found)) - 12
+    assert len(spans.sentences("w " * 24)[0]) == 1
 
 
 # --- helpers -------------------------------------------------------------------------
@@ -259,12 +281,29 @@ def test_long_runs_and_whole_short_texts_are_evidence(spark):
         (3, f"Up. {long('b', 30)} {long('c', 30)} Down."), (4, f"Left. {long('b', 30)} {long('c', 30)} Right."),  # two
         (5, "A short text of seven words here"), (6, "A short text of seven words here"), (7, "Tiny."), (8, "Tiny."),
         (9, "Two of them. It is so."), (10, "Two of them. It is so."), (11, "Tiny. Two of them. It is so."),
-        (12, f"Early. {long('d', 40)} Late."), (13, f"Soon. {long('d', 40)} Then."),  # too few words for one sentence
+        (12, f"word {long('d', 70).rstrip('.')}"), (13, f"{long('d', 70).rstrip('.')} glued to more"),  # no end at all
         (14, long("e", 70).rstrip(".")), (15, long("e", 70).rstrip(".")), (15, long("e", 70).rstrip(".")),
     ]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r for r in spans.remove_repeated_spans(docs).collect()}
-    text = dict(rows)
-    gone = {2: "Other words. Last of it.", 4: "Left. Right.", 6: "", 10: "", 15: ""}
-    assert {i: r.kept for i, r in got.items()} == {**text, **gone}
-    assert {i: r.n_removed for i, r in got.items() if r.n_removed} == {2: 1, 4: 2, 6: 1, 10: 2, 15: 1}
+    expected = {k[0]: v for k, v in spans_by_hand(rows, spans.SENTENCES, spans.LEAST_WORDS).items()}
+    assert {i: (r.n_sentences, r.n_removed, r.kept) for i, r in got.items()} == expected
+    left = {i: len(r.kept.split()) for i, r in got.items() if r.n_removed}
+    assert {i: left[i] for i in (6, 8, 10, 15)} == {6: 0, 8: 0, 10: 0, 15: 0}
+    # Of a passage with other words around it a sentence at either end may stay.
+    assert set(left) == {2, 4, 6, 8, 10, 13, 15} and left[2] < 25 and left[4] < 22 and left[13] < 23
+
+
+def test_spans_take_clashing_names_long_texts_and_no_rows(spark):
+    names = ["who", "text_key", "runs", "key", "first", "at", "n", "_who", "_runs", "least"]
+    ddl = "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names)
+    rng = random.Random(8)
+    body = " ".join(f"{rng.choice('abc')}{rng.randrange(50_000)}{rng.choice(['', '', '.'])}" for _ in range(400_000))
+    rows = [(1, body), (2, "Own start of it. " + body), (3, None), (4, "")]
+    got = spans.remove_repeated_spans(spark.createDataFrame([(*r, *names) for r in rows], ddl))
+    assert got.columns == ["doc_id", "text", *names, "n_sentences", "n_removed", "kept"]
+    kept = {r.doc_id: r for r in got.collect()}
+    assert all(tuple(r)[2:-3] == tuple(names) for r in kept.values())
+    assert kept[1].n_removed == 0 and kept[2].kept.startswith("Own start") and len(kept[2].kept) < 400
+    assert (kept[3].kept, kept[4].kept) == (None, "")
+    assert spans.remove_repeated_spans(spark.createDataFrame([], ddl)).collect() == []

@@ -48,7 +48,7 @@ def test_registered():
 
 
 def test_sentence_spans(spark, documents):
-    expected = spans_by_hand([r[:2] for r in documents], 3, 6)
+    expected = spans_by_hand([r[:2] for r in documents], 3, 18)
     got = QUERIES["op1_sentence_spans"](spark, SF_DIR).collect()
     assert {r.doc_id: (r.n_sentences, r.n_removed, r.kept) for r in got} == {k[0]: v for k, v in expected.items()}
 
