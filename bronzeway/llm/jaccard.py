@@ -18,12 +18,13 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bronzeway.llm.common import components, mix64, repeated_keys, row_mapper, stored
+from bronzeway.llm.common import components, fresh, mix64, repeated_keys, row_mapper, stored
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
+ANY_WORD = r"[^\x20\x09-\x0D]"
 CAPITALS = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 #: A band of set sizes ends at so many times the end of the one before.
 BAND_RATIO = 1.3
@@ -31,8 +32,9 @@ BAND_RATIO = 1.3
 #: that unlike sets with a common passage share a shingle.
 FALSE_COST = 400.0
 SHARED = 0.4
-#: Characters of a block; a family of more is verified block against block.
+#: Characters of a block, and the first texts of a family that go to all its blocks.
 BLOCK_CHARS = 4 << 20
+FIRST_TEXTS = 4
 
 
 def shingles(text: str | None, n: int) -> np.ndarray:
@@ -143,15 +145,18 @@ def index_keys(tokens: np.ndarray, percent: int) -> np.ndarray:
     return np.unique(np.concatenate(found))
 
 
-def verify(sets: list[np.ndarray], percent: int) -> np.ndarray:
+def verify(sets: list[np.ndarray], percent: int, core: np.ndarray | None = None) -> np.ndarray:
     """For each set the position of the first set of its component.
 
     Walks from set to set over the links, each time comparing one with all that
-    aren't reached yet, through the lists of sets that have a shingle.
+    aren't reached yet, through the lists of sets that have a shingle. Sets of the
+    ``core`` are known to hang together and aren't walked from; what is linked with one
+    has the first of them for its first.
     """
     n = len(sets)
     sizes = np.array([len(s) for s in sets], np.int64)
     root = np.full(n, -1, np.int64)
+    known = np.zeros(n, bool) if core is None else core
     owner = np.repeat(np.arange(n), sizes)
     tokens = np.unique(np.concatenate(sets), return_inverse=True)[1] if len(owner) else owner
     counts = np.bincount(tokens) if len(owner) else np.zeros(0, np.int64)
@@ -162,11 +167,13 @@ def verify(sets: list[np.ndarray], percent: int) -> np.ndarray:
     starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
     own_end = np.searchsorted(owner, np.arange(n), "right")
     own_start = np.searchsorted(owner, np.arange(n), "left")
+    top = int(known.argmax()) if known.any() else -1
+    root[known] = top
     for first in range(n):
         if root[first] >= 0:
             continue
         root[first] = first
-        front = [first]
+        front, reached, meets = [first], [first], False
         while front:
             u = front.pop()
             mine = tokens[own_start[u] : own_end[u]]
@@ -174,15 +181,20 @@ def verify(sets: list[np.ndarray], percent: int) -> np.ndarray:
                 continue
             pieces = [lists[starts[t] : ends[t]] for t in mine]
             others = np.concatenate(pieces)
-            others = others[root[others] < 0]
+            others = others[(root[others] < 0) | (known[others] & (not meets))]
             if not len(others):
                 continue
             common = np.bincount(others, minlength=n)
             near = np.flatnonzero(common)
             both = common[near]
             linked = near[100 * both >= percent * (sizes[u] + sizes[near] - both)]
+            meets = meets or bool(known[linked].any())
+            linked = linked[~known[linked]]
             root[linked] = first
             front.extend(linked.tolist())
+            reached.extend(linked.tolist())
+        if meets:
+            root[reached] = top
     return root
 
 
@@ -241,11 +253,29 @@ def sketch_groups(sketches: np.ndarray, sizes: np.ndarray, percent: int) -> np.n
     return root
 
 
+def member_sets(keys: DataFrame) -> DataFrame:
+    """(key, who) of one key for each set of texts that some key is shared by.
+
+    Near copies share most of their keys, and keys with the same texts say the same: of
+    these one is enough. A set is known by its size, ends and sums. A copy of a text has
+    all keys of the text, so copies count alike in every key.
+    """
+    who = F.col("who")
+    parts = {"low": who.bitwiseAND(0xFFFFFFFF), "high": F.shiftright(who, 32)}
+    known = keys.groupBy("key").agg(
+        F.count("*").alias("n"), F.min("who").alias("least"), F.max("who").alias("most"),
+        *(F.sum(c).alias(name) for name, c in parts.items()),
+    )
+    sets = known.filter("least <> most").groupBy("n", "least", "most", *parts).agg(F.min("key").alias("key"))
+    return keys.select("key", "who").join(sets.select("key"), "key", "left_semi").distinct()
+
+
 def refined_edges(members: DataFrame, keys: DataFrame, n: int, percent: int) -> DataFrame:
     """(a, b) of the members of each key whose sketches allow a link.
 
-    ``members`` has node and text, ``keys`` key and who. Of keys with more than
-    KEY_LIMIT members all hang together.
+    ``members`` has node and text, ``keys`` distinct key and who. Of keys with more than
+    KEY_LIMIT members all hang together. A member has an edge to the first that it may
+    be linked with.
     """
 
     def sketched(batches):
@@ -263,12 +293,11 @@ def refined_edges(members: DataFrame, keys: DataFrame, n: int, percent: int) ->
     sketches = members.select("node", "text").mapInArrow(
         sketched, "who bigint, sketch binary, size bigint"
     )
-    own = keys.join(sketches.select("who"), "who").select("key", "who")
-    per_key = own.groupBy("key").agg(F.count("*").alias("n"), F.min("who").alias("least"))
-    large = own.join(per_key.filter(F.col("n") > KEY_LIMIT), "key").select(
+    per_key = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("who").alias("least"))
+    large = keys.join(per_key.filter(F.col("n") > KEY_LIMIT), "key").select(
         F.col("who").alias("a"), F.col("least").alias("b")
     )
-    small = own.join(per_key.filter(F.col("n").between(2, KEY_LIMIT)).select("key"), "key")
+    small = keys.join(per_key.filter(F.col("n") <= KEY_LIMIT).select("key"), "key", "left_semi")
 
     def split(batches):
         held: list[tuple] = []
@@ -278,12 +307,12 @@ def refined_edges(members: DataFrame, keys: DataFrame, n: int, percent: int) ->
             table = np.frombuffer(b"".join(r[2] for r in rows), np.uint8).reshape(-1, SKETCH)
             root = sketch_groups(table, np.array([r[3] for r in rows], np.int64), percent)
             apart = np.flatnonzero(root != np.arange(len(rows)))
-            return who[apart], who[root[apart]]
+            return np.column_stack([who[apart], who[root[apart]]])
 
         def all_edges(groups):
             found = [edges(g) for g in groups if len(g) > 1]
-            a, b = (np.concatenate([f[i] for f in found] or [np.empty(0, np.int64)]) for i in (0, 1))
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+            pairs = np.unique(np.concatenate(found or [np.empty((0, 2), np.int64)]), axis=0)
+            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
         for batch in batches:
             held += zip(*(batch.column(c).to_pylist() for c in ("key", "who", "sketch", "size")))
@@ -308,28 +337,16 @@ def _rows(docs: DataFrame, text: str, id: str) -> DataFrame:
     ).withColumn("node", F.xxhash64("text"))
 
 
-def _placed(rows: DataFrame, n: int, percent: int) -> DataFrame:
-    """(id, node, n_shingles, root) of every row; the root is a node of its component."""
+def _roots(rows: DataFrame, n: int, percent: int) -> DataFrame:
+    """(node, root) of every text that may be linked; the root is a node of its component."""
     # Of equal texts one goes on; the first aggregation drops copies before the shuffle.
     texts = rows.select("node", "text").dropDuplicates(["node"])
-    keys = stored(shared_keys(rows.select("node", "text"), n, percent), "keys")
-    together = keys.filter("who <> first").select(F.col("who").alias("a"), F.col("first").alias("b"))
-    family = components(together).withColumnRenamed("root", "family")
-    members = stored(texts.join(family, "node"), "members")
-    weight = _weights(members)
-    large = weight.filter(F.col("chars") > BLOCK_CHARS).select("family")
-    # Families of one block are verified as they are. Larger ones often hang
-    # together by keys that unlike texts share: there sketches are asked too.
-    again = stored(members.join(large, "family"), "large")
-    finer = components(refined_edges(again, keys.select("key", "who"), n, percent))
-    split = again.drop("family").join(finer.withColumnRenamed("root", "family"), "node")
-    kept = members.join(large, "family", "left_anti")
-    linked = verified_edges(kept.select("family", "node", "text"), n, percent).union(
-        verified_edges(split.select("family", "node", "text"), n, percent)
-    )
-    root = components(linked.select("a", "b")).select("node", "root")
-    sizes = stored(_sizes(rows.select("id", "node", "text"), n), "sizes")
-    return sizes.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    shared = stored(shared_keys(rows.select("node", "text"), n, percent).select("key", "who"), "keys")
+    keys = stored(member_sets(shared), "sets")
+    members = stored(texts.join(keys.select(F.col("who").alias("node")).distinct(), "node"), "members")
+    family = components(refined_edges(members, keys, n, percent)).withColumnRenamed("root", "family")
+    linked = verified_edges(members.join(family, "node"), n, percent)
+    return components(linked.select("a", "b")).select("node", "root")
 
 
 def link_components(
@@ -349,7 +366,9 @@ def link_components(
     Other columns of ``docs`` are left out. Texts are told apart by 64-bit hashes:
     two among a billion are confused with probability 1/37.
     """
-    placed = _placed(_rows(docs, text, id), n, percent)
+    rows = _rows(docs, text, id)
+    sizes = stored(_sizes(rows, n), "sizes")
+    placed = _rooted(sizes, _roots(rows, n, percent))
     smallest = placed.groupBy("root").agg(F.min("id").alias("least"))
     return placed.join(smallest, "root").select(
         F.col("id").alias(id),
@@ -371,30 +390,34 @@ def one_per_component(
     rows with equal id and text any one. Texts without words are linked with
     nothing and all stay.
     """
-    placed = _placed(_rows(docs, text, id), n, percent)
+    own, key, one, node, many = (fresh(c, docs.columns) for c in ("own", "key", "one", "node", "many"))
+    rows = _rows(docs, text, id)
+    placed = _rooted(rows.filter(F.col("text").rlike(ANY_WORD)).drop("text"), _roots(rows, n, percent))
     order = F.struct(F.col("id").isNull().alias("none"), "id", "node")
-    rows = placed.filter("n_shingles > 0").groupBy("root", "id", "node").agg(F.count("*").alias("n"))
+    counted = placed.groupBy("root", "id", "node").agg(F.count("*").alias("n"))
     chosen = (
-        rows.groupBy("root")
+        counted.groupBy("root")
         .agg(F.min_by(F.struct("id", "node", "n"), order).alias("one"))
         .select(
-            F.col("one.id").alias("_one"),
-            F.col("one.node").alias("_node"),
-            (F.col("one.n") > 1).alias("_many"),
+            F.col("one.id").alias(one),
+            F.col("one.node").alias(node),
+            (F.col("one.n") > 1).alias(many),
         )
     )
-    keyed = docs.withColumns(
-        {"_own": F.xxhash64(F.coalesce(text, F.lit(""))), "_id": F.col(id)}
-    )
-    wordless = ~F.coalesce(F.col(text), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    both = (F.col("_own") == F.col("_node")) & F.col("_id").eqNullSafe(F.col("_one"))
+    keyed = docs.withColumns({own: F.xxhash64(F.coalesce(text, F.lit(""))), key: F.col(id)})
+    wordless = ~F.coalesce(F.col(text), F.lit("")).rlike(ANY_WORD)
+    both = (F.col(own) == F.col(node)) & F.col(key).eqNullSafe(F.col(one))
     stay = keyed.filter(~wordless).join(chosen, both)
     # Only rows that are given twice move once more.
-    once = stay.filter(~F.col("_many"))
-    twice = stay.filter("_many").dropDuplicates(["_own", "_id"])
-    return once.select(*docs.columns).union(twice.select(*docs.columns)).union(
-        keyed.filter(wordless).select(*docs.columns)
-    )
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    once = stay.filter(~F.col(many))
+    twice = stay.filter(F.col(many)).dropDuplicates([own, key])
+    return once.select(*columns).union(twice.select(*columns)).union(keyed.filter(wordless).select(*columns))
+
+
+def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows with the root of their node; without links it is the node itself."""
+    return rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
 def _sizes(rows: DataFrame, n: int) -> DataFrame:
@@ -408,36 +431,69 @@ def _weights(members: DataFrame) -> DataFrame:
     return members.groupBy("family").agg(F.sum(F.length("text") + 64).alias("chars"))
 
 
-def verified_edges(members: DataFrame, n: int, percent: int) -> DataFrame:
-    """(a, b): each text of a family (family, node, text) with the first of its component.
+def _blocks(members: DataFrame, count: str, own: str) -> DataFrame:
+    """Members of each family dealt to blocks of about BLOCK_CHARS: their count and number."""
+    blocks = F.greatest(F.lit(1), F.ceil(F.col("chars") / BLOCK_CHARS)).cast("int")
+    weight = _weights(members).select("family", blocks.alias(count))
+    number = F.pmod(F.xxhash64("node"), F.col(count)).cast("int")
+    return members.join(weight, "family").withColumn(own, number)
+
 
-    A family is cut into blocks of about BLOCK_CHARS, and any two of its blocks
-    meet in one task: all pairs are looked at, whatever the family's size, and no
-    task holds more than two blocks.
+def verified_edges(members: DataFrame, n: int, percent: int) -> DataFrame:
+    """(a, b): each text of a family (family, node, text) with one of its component.
+
+    A family is cut into blocks of about BLOCK_CHARS; the first texts of the family go to
+    each of them, and each is verified in one task. What hangs together by these texts
+    already, the core, needs no comparing among itself: the blocks of all other texts of
+    the family then meet each other and the blocks of its core. So all links count, and a
+    family of near copies, however large, takes work in proportion. No task holds more
+    than two blocks and the first texts.
     """
-    weight = _weights(members)
-    cut = members.join(
-        weight.select("family", F.ceil(F.col("chars") / BLOCK_CHARS).cast("int").alias("blocks")),
-        "family",
-    ).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    others = F.filter(
-        F.sequence(F.lit(0), F.col("blocks") - 1),
-        lambda j: (j != F.col("own")) | (F.col("blocks") == 1),
-    )
-    met = cut.withColumn("other", F.explode(others)).select(
-        "family",
-        F.least("own", "other").alias("i"),
-        F.greatest("own", "other").alias("j"),
-        "node",
-        "text",
-    )
+    cut = stored(_blocks(members, "blocks", "own"), "blocks")
 
     def group(frame: pd.DataFrame) -> pd.DataFrame:
-        root = verify([shingles(t, n) for t in frame["text"]], percent)
+        frame = frame.drop_duplicates("node")
         nodes = frame["node"].to_numpy()
+        root = verify([shingles(t, n) for t in frame["text"]], percent, frame["core"].to_numpy())
         return pd.DataFrame({"a": nodes, "b": nodes[root]})
 
-    # The join above has dealt by family alone: without this all pairs of blocks of
+    large = cut.filter("blocks > 1")
+    order = Window.partitionBy("family").orderBy("node")
+    first = large.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= FIRST_TEXTS)
+    sent = first.withColumn("own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    columns = ["family", "own", "node", "text"]
+    dealt = cut.select(*columns).union(sent.select(*columns)).withColumn("core", F.lit(False))
+    inside = stored(
+        dealt.repartition("family", "own").groupBy("family", "own").applyInPandas(group, "a bigint, b bigint"),
+        "linked",
+    )
+    if large.isEmpty():
+        return inside
+    of_large = large.select(F.col("node").alias("a"))
+    joined = components(inside.join(of_large, "a", "left_semi"))
+    placed = large.select("family", "node", "text").join(joined, "node")
+    count = placed.groupBy("family", "root").agg(F.count("*").alias("n"))
+    core = count.groupBy("family").agg(F.max_by("root", F.struct("n", "root")).alias("core_root"))
+    told = stored(
+        placed.join(core, "family").select("family", "node", "text", (F.col("root") == F.col("core_root")).alias("core")),
+        "told",
+    )
+    core, rest = (_blocks(told.filter(F.col("core") == kind), count, own) for kind, count, own in (
+        (True, "core_blocks", "i"), (False, "rest_blocks", "j")))
+    cores, rests = (d.select("family", c).distinct() for d, c in ((core, "core_blocks"), (rest, "rest_blocks")))
+    many = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
+    columns = ["family", "i", "j", "core", "node", "text"]
+    pair = (F.least("j", "other").alias("i"), (-1 - F.greatest("j", "other")).alias("j"))
+    met = (
+        core.join(rests, "family").withColumn("j", F.explode(many("rest_blocks"))).select(*columns)
+        .union(rest.join(cores, "family").withColumn("i", F.explode(many("core_blocks"))).select(*columns))
+        # Blocks of the rest among themselves; their second number is told by its sign.
+        .union(
+            rest.withColumn("other", F.explode(many("rest_blocks")))
+            .filter("other <> j OR rest_blocks = 1").select("family", *pair, "core", "node", "text")
+        )
+    )
+    # The joins above have dealt by family alone: without this all pairs of blocks of
     # a family would be one task's.
-    dealt = met.repartition("family", "i", "j")
-    return dealt.groupBy("family", "i", "j").applyInPandas(group, "a bigint, b bigint")
+    across = met.repartition("family", "i", "j").groupBy("family", "i", "j").applyInPandas(group, "a bigint, b bigint")
+    return inside.union(across)

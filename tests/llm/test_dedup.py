@@ -129,6 +129,64 @@ def test_verification_finds_all_components(sets, percent):
     assert root == parent and len(rows) == len(root)
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.sets(st.integers(0, 12), min_size=1), min_size=1, max_size=12), st.integers(40, 100), st.randoms())
+def test_a_known_core_is_one_component(sets, percent, draw):
+    arrays = [np.array(sorted(s), np.uint64) for s in sets]
+    core = np.array([draw.random() < 0.4 for _ in sets])
+    root = jaccard.verify(arrays, percent, core).tolist()
+    parent = list(range(len(sets)))
+    for _ in sets:
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets):
+                if 100 * len(a & b) >= percent * len(a | b) or core[i] and core[j]:
+                    parent[i] = parent[j] = min(parent[i], parent[j])
+    for i in range(len(sets)):
+        for j in range(len(sets)):
+            assert (root[i] == root[j]) == (parent[i] == parent[j])
+
+
+def test_one_set_of_texts_counts_once(spark):
+    entries = [(k, w) for k in range(50) for w in (3, 5, 8)] + [(60, 3), (60, 5), (61, 9), (61, 9), (62, 3), (62, 5)]
+    # Copies of a text have all its keys.
+    entries += [(k, 5) for k in (*range(50), 60, 62)]
+    keys = spark.createDataFrame(entries, "key long, who long")
+    got = [tuple(r) for r in jaccard.member_sets(keys).collect()]
+    assert sorted(got) == [(0, 3), (0, 5), (0, 8), (60, 3), (60, 5)]
+
+
+def test_a_family_with_a_third_of_all_rows(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK_CHARS", 3000)
+    rng = random.Random(12)
+    base = [f"w{rng.randrange(500)}" for _ in range(60)]
+    rows = [(i, " ".join(f"{rng.choice('xyz')}{rng.randrange(900)}" for _ in range(40))) for i in range(80)]
+    for i in range(100, 160):
+        words = list(base)
+        words[rng.randrange(60)] = f"n{i}"
+        rows.append((i, " ".join(words)))
+    # A chain away from the others, each link near the one before only.
+    for i in range(200, 212):
+        base = [*base[2:], f"c{i}", f"d{i}"]
+        rows.append((i, " ".join(base)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = linked_components(rows, 4, 80)
+    got = jaccard.link_components(docs, n=4, percent=80).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == [(i, *e) for (i, _), e in zip(rows, expected)]
+    assert max(sum(c == d for _, d in expected) for _, c in expected) >= 50
+
+
+def test_one_per_component_takes_clashing_names(spark):
+    names = ["_own", "_id", "_one", "_node", "_many", "own", "key", "one", "node", "many", "root", "family"]
+    rows = [(i, t, *names) for i, t in near_copies()]
+    ddl = "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names)
+    docs = spark.createDataFrame(rows, ddl)
+    kept = jaccard.one_per_component(docs, n=5, percent=80)
+    assert kept.columns == docs.columns
+    found = kept.collect()
+    assert found and all(tuple(r)[2:] == tuple(names) for r in found)
+    assert jaccard.one_per_component(docs.limit(0)).collect() == []
+
+
 # --- suffixes --------------------------------------------------------------------
 
 
