@@ -12,7 +12,9 @@ import hashlib
 import os
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -61,7 +63,9 @@ def build_tokenizer(model: bytes, by_word: bool = False):
     unknown = next(i for i, p in enumerate(pieces) if p.type == UNKNOWN)
     fallback = any(p.type == BYTE for p in pieces)
     if kind == UNIGRAM:
-        scored = [(p.piece, p.score) for p in pieces]
+        # Only normal pieces stand for text that reads like them; the library has no kinds.
+        far = min((p.score for p in pieces if p.type == NORMAL), default=0.0) - 1000
+        scored = [(p.piece, p.score if p.type == NORMAL else far) for p in pieces]
         core = models.Unigram(scored, unk_id=unknown, byte_fallback=fallback)
     elif kind == BPE:
         core = models.BPE(
@@ -90,10 +94,9 @@ def build_tokenizer(model: bytes, by_word: bool = False):
     if by_word and not any(MARK in p.piece.lstrip(MARK) for p in pieces):
         words = Regex(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
         tokenizer.pre_tokenizer = pre_tokenizers.Split(words, "isolated")
-    undo = [decoders.Replace(MARK, " ")]
-    if fallback:
-        undo.append(decoders.ByteFallback())
-    undo.append(decoders.Fuse())
+    # Bytes never make a marker, as it is a piece, so markers are replaced once, at the end.
+    undo = [decoders.ByteFallback()] if fallback else []
+    undo += [decoders.Fuse(), decoders.Replace(MARK, " ")]
     if spec.add_dummy_prefix:
         undo.append(decoders.Strip(" ", 1, 0))
     tokenizer.decoder = decoders.Sequence(undo)
@@ -147,8 +150,8 @@ def encode(
     No shuffle: rows stay where they are.
 
     A NULL text has NULL ids, decoded and parity; an empty text has no ids and
-    decodes to an empty one. Repeated rows are encoded each; input columns of
-    the result's names are replaced.
+    decodes to an empty one. Texts of any length are encoded whole. Repeated rows are
+    encoded each, and no rows give none; input columns of the result's names are replaced.
     """
     kept = docs.drop("ids", "decoded", "parity")
     out = with_fields(kept, ids="array<int>", decoded="string", parity="boolean")
@@ -161,35 +164,49 @@ def encode(
             texts = batch.column(text).to_pylist()
             for at in _slices([t or "" for t in texts]):
                 full = [i for i in at if texts[i] is not None]
-                long = len(full) == 1 and len(texts[full[0]]) > SLICE_CHARS
-                encoded = (worded if long else tokenizer).encode_batch_fast(
-                    [texts[i] for i in full], add_special_tokens=False
-                )
+                given = [texts[i] for i in full]
+                long = len(given) == 1 and len(given[0]) > SLICE_CHARS
+                encoded = (worded if long else tokenizer).encode_batch_fast(given, add_special_tokens=False)
                 ids = [e.ids for e in encoded]
                 del encoded
                 back = tokenizer.decode_batch(ids, skip_special_tokens=False)
-                found = dict(zip(full, zip(ids, back)))
-                parity = []
-                for i in at:
-                    ok = None
-                    if i in found and _chosen(texts[i], verify_one_in):
-                        expected = original.encode(texts[i])
-                        ok = expected == found[i][0] and original.decode(expected) == found[i][1]
-                    parity.append(ok)
-                piece = pa.RecordBatch.from_arrays(
+                chosen = [k for k, value in enumerate(given) if _chosen(value, verify_one_in)]
+                expected = original.encode([given[k] for k in chosen], num_threads=1) if chosen else []
+                # Where the ids agree, the original decodes the very same ones.
+                again = original.decode(expected, num_threads=1) if chosen else []
+                parity = [None] * len(given)
+                for k, theirs, shown in zip(chosen, expected, again):
+                    parity[k] = theirs == ids[k] and shown == back[k]
+                yield pa.RecordBatch.from_arrays(
                     [batch.column(c).take(pa.array(at)) for c in names]
                     + [
-                        pa.array([found.get(i, (None,))[0] for i in at], pa.list_(pa.int32())),
-                        pa.array([found.get(i, (None, None))[1] for i in at], pa.string()),
-                        pa.array(parity, pa.bool_()),
+                        _flat_lists(ids, full, at),
+                        _spread(pa.array(back, pa.string()), full, at),
+                        _spread(pa.array(parity, pa.bool_()), full, at),
                     ],
                     names=names + ["ids", "decoded", "parity"],
                 )
-                yield piece
 
     return docs.mapInArrow(run, out)
 
 
+def _spread(values: pa.Array, full: list[int], at: list[int]) -> pa.Array:
+    """Values of the rows ``full`` at the rows ``at``; the others are NULL."""
+    if len(full) == len(at):
+        return values
+    place = {i: k for k, i in enumerate(full)}
+    return values.take(pa.array([place.get(i) for i in at], pa.int64()))
+
+
+def _flat_lists(lists: list[list[int]], full: list[int], at: list[int]) -> pa.Array:
+    """Lists as one flat array with offsets."""
+    offsets = np.cumsum([0, *map(len, lists)], dtype=np.int32)
+    flat = np.fromiter(chain.from_iterable(lists), np.int32, int(offsets[-1]))
+    return _spread(pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), full, at)
+
+
 def _chosen(text: str, one_in: int) -> bool:
+    if one_in == 1:
+        return True
     digest = hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest()
     return int.from_bytes(digest, "little") % one_in == 0
