@@ -1,6 +1,7 @@
 """The pipeline as ``spark-submit`` jobs.
 
     spark-submit --py-files bronzeway.zip bronzeway/jobs.py bronze  RAW_FOLDER BRONZE [--only-new]
+    spark-submit --py-files bronzeway.zip bronzeway/jobs.py refresh RAW_FOLDER LAKE [--fidelity clean]
     spark-submit --py-files bronzeway.zip bronzeway/jobs.py silver  BRONZE SILVER [--fidelity clean]
     spark-submit --py-files bronzeway.zip bronzeway/jobs.py gold    SILVER GOLD
     spark-submit --py-files bronzeway.zip bronzeway/jobs.py yearly  GOLD OUT
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from bronzeway import values as v
 from bronzeway.operators.schema import column_presence, common_columns, sample_rows
-from bronzeway.plans import accidents
+from bronzeway.plans import accidents, incremental
 from bronzeway.session import make_session
 from bronzeway.sources.bronze import read_bronze
 from bronzeway.sources.files import list_source_files, read_drifting_csv, read_headers
@@ -42,6 +43,8 @@ def _profile(raw: DataFrame, out: str) -> None:
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job == "bronze":
         accidents.load_raw(spark, args.source, args.target, args.only_new)
+    elif args.job == "refresh":
+        incremental.refresh(spark, args.source, args.target, args.fidelity)
     elif args.job == "silver":
         bronze = read_bronze(spark, args.source, columns=v.SILVER_SOURCE_COLUMNS)
         write_table(accidents.to_silver(bronze, args.fidelity), args.target)
@@ -80,7 +83,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="bronzeway")
     parser.add_argument(
         "job",
-        choices=["bronze", "silver", "gold", "yearly", "profile", "sample", "columns", "report"],
+        choices=["bronze", "refresh", "silver", "gold", "yearly", "profile", "sample", "columns", "report"],
     )
     parser.add_argument("source")
     parser.add_argument("target")

@@ -70,16 +70,20 @@ def _published(fidelity: str) -> dict[str, Column]:
     return {"br": padded_code(F.col("br"), v.HIGHWAY_WIDTH, missing)}
 
 
-def to_silver(bronze: DataFrame, fidelity: str = REFERENCE) -> DataFrame:
+def to_silver(
+    bronze: DataFrame, fidelity: str = REFERENCE, keep: Sequence[str] = ()
+) -> DataFrame:
     """Cleaned, typed rows, one per accident: projections only, no shuffle.
 
+    Columns to ``keep`` pass through.
+
     ``reference`` keeps two oddities of the published data: a highway that is
     missing reads ``null``, and weather other than the recoded values is NULL.
     ``clean`` gives NULL and the lower-case text.
     """
     if fidelity not in (REFERENCE, CLEAN):
         raise ValueError(f"unknown fidelity: {fidelity}")
-    rows = schema.project(bronze, v.SILVER_SOURCE_COLUMNS)
+    rows = schema.project(bronze, [*v.SILVER_SOURCE_COLUMNS, *keep])
     # Passes, so that what one computes is a plain column to the next.
     for rules in (_normalised(), _typed(fidelity), _published(fidelity)):
         rows = schema.clean(rows, rules)

@@ -521,9 +521,22 @@ ORACLES = {
     ),
     "odd_headers": (
         "SELECT cast(o_orderkey AS varchar) AS o_orderkey, o_orderstatus AS code,"
-        " o_orderpriority AS _c2, NULL::varchar AS code1, NULL::varchar AS code2 FROM orders"
+        " o_orderpriority AS _c2, NULL::varchar AS code1, NULL::varchar AS code2,"
+        " NULL::varchar AS status FROM orders"
         " UNION ALL SELECT cast(o_orderkey AS varchar), NULL, NULL, o_orderstatus,"
-        " cast(cast(o_orderdate AS date) AS varchar) FROM orders"
+        " cast(cast(o_orderdate AS date) AS varchar), NULL FROM orders"
+        " UNION ALL SELECT cast(o_orderkey AS varchar), NULL, NULL, NULL, NULL, o_orderstatus FROM orders"
+    ),
+    "incremental_changed": (
+        "SELECT cast(o_orderkey AS varchar) AS o_orderkey,"
+        " CASE WHEN y < 1997 THEN lower(o_orderstatus) ELSE o_orderstatus END AS o_orderstatus,"
+        " cast(cast(o_orderdate AS date) AS varchar) AS o_orderdate, 'changed emptied new' AS pending"
+        " FROM (SELECT *, coalesce(year(o_orderdate), 0) AS y FROM orders) WHERE y <> 1997"
+    ),
+    "gold_incremental": _rollup(
+        f"(SELECT {_as_items(_SILVER_ITEMS)} FROM (SELECT * FROM"
+        f" ({roles.sql({**roles.RAW, '_slice': 'year(l_shipdate)'})})"
+        " WHERE _slice >= 2000 OR (_slice >= 1998 AND right(id, 1) IN ('1', '2')) OR _slice IS NULL))"
     ),
     "report_panels": _REPORT,
 }

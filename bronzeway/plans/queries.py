@@ -22,7 +22,7 @@ from bronzeway.operators import (
     rollup,
     schema,
 )
-from bronzeway.plans import accidents, roles
+from bronzeway.plans import accidents, incremental, roles
 from bronzeway.session import own_session, scratch_path
 from bronzeway.sources import bronze, files, tables
 from bronzeway.sources.geo import read_geojson, read_topojson_attributes
@@ -246,6 +246,25 @@ def _deliver(spark, slices: dict[str, DataFrame]) -> str:
     return folder
 
 
+def _deliver_files(spark, rows: DataFrame, folder: str, name: str, key: str) -> None:
+    """Rows as two files whose names stay, in place of what they held before.
+
+    Written beside the folder and put in by their names; without rows the two are headers.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    system = hadoop.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(hadoop.Path(folder))
+    halves = F.pmod(F.xxhash64(key), F.lit(2))
+    for i in range(2):
+        # One file: these rows are a delivery, which comes as one.
+        aside = scratch_path(spark, "delivery")
+        rows.filter(halves == i).coalesce(1).write.options(**v.CSV_OPTIONS).csv(aside)
+        written = system.globStatus(hadoop.Path(f"{aside}/part-*"))[0].getPath()
+        target = hadoop.Path(f"{folder}/{name}-{i}.csv")
+        system.delete(target, False)
+        system.rename(written, target)
+
+
 def _delivered(spark, folder: str) -> list[str]:
     return [r.path for r in files.list_source_files(spark, folder, recursive=True).collect()]
 
@@ -323,9 +342,32 @@ def incremental_replaced(spark, sf):
     return bronze.read_bronze(spark, path).select(*columns, v.SOURCE_COLUMN)
 
 
+@query
+def incremental_changed(spark, sf):
+    """Files that come again under their names: with other rows, none, the same; one is new."""
+    orders = _orders(spark, sf).withColumn("o_orderdate", F.to_date("o_orderdate").cast("string"))
+    rows = orders.select("o_orderkey", "o_orderstatus", "o_orderdate")
+    folder, path = scratch_path(spark, "raw"), scratch_path(spark, "bronze")
+    by_year = F.coalesce(F.substring("o_orderdate", 1, 4).cast("int"), F.lit(0))
+    for name, slice_ in (("changed", by_year < 1997), ("emptied", by_year == 1997), ("same", by_year > 1998)):
+        _deliver_files(spark, rows.filter(slice_), folder, name, "o_orderkey")
+    bronze.ingest_files(spark, bronze.pending_files(spark, folder, path), path)
+    other = rows.filter(by_year < 1997).withColumn("o_orderstatus", F.lower("o_orderstatus"))
+    _deliver_files(spark, other, folder, "changed", "o_orderkey")
+    _deliver_files(spark, rows.limit(0), folder, "emptied", "o_orderkey")
+    _deliver_files(spark, rows.filter(by_year > 1998), folder, "same", "o_orderkey")
+    _deliver_files(spark, rows.filter(by_year == 1998), folder, "new", "o_orderkey")
+    pending = bronze.pending_files(spark, folder, path)
+    names = sorted({p.rsplit("/", 1)[1].split("-")[0] for p in pending})
+    bronze.ingest_files(spark, pending, path)
+    return bronze.read_bronze(spark, path).drop(v.SOURCE_COLUMN).withColumn(
+        "pending", F.lit(" ".join(names))
+    )
+
+
 @query
 def odd_headers(spark, sf):
-    """Files with a blank and a repeated name in their header."""
+    """Files with a blank and a repeated name in their header, and one with a line break."""
     orders = _orders(spark, sf).withColumn("o_orderdate", F.to_date("o_orderdate").cast("string"))
     folder = _deliver(
         spark,
@@ -334,10 +376,13 @@ def odd_headers(spark, sf):
                                  F.col("o_orderpriority").alias(" ")),
             "twice": orders.select("o_orderkey", F.col("o_orderstatus").alias("code"),
                                    F.col("o_orderdate").alias("Code")),
+            "broken": orders.select("o_orderkey", F.col("o_orderstatus").alias("order\nstatus")),
         },
     )
     rows = files.read_drifting_csv(spark, _delivered(spark, folder))
-    return rows.select("o_orderkey", "code", "_c2", "code1", "code2")
+    return rows.select(
+        "o_orderkey", "code", "_c2", "code1", "code2", F.col("order\nstatus").alias("status")
+    )
 
 
 @query
@@ -402,6 +447,31 @@ def medallion_gold(spark, sf):
     return _iso(tables.read_table(spark, f"{lake}/gold"), "DATA")
 
 
+@query
+def gold_incremental(spark, sf):
+    """Gold kept up to date: a source is added, one comes with fewer rows, one with none."""
+    split = "CASE WHEN year(l_shipdate) < 1998 THEN 1 WHEN year(l_shipdate) < 2000 THEN 2 ELSE 3 END"
+    path = scratch_path(spark, "slices")
+    made = roles.frame(spark, sf, {**roles.RAW, "_slice": split})
+    made.write.partitionBy("_slice").parquet(path)
+    raw = tables.read_table(spark, path)
+    folder, lake = scratch_path(spark, "raw"), scratch_path(spark, "lake")
+
+    def deliver(name: str, number: int, rows: str = "true") -> None:
+        chosen = raw.filter(F.col("_slice") == str(number)).filter(rows).drop("_slice")
+        _deliver_files(spark, chosen, folder, name, "id")
+
+    deliver("first", 1)
+    deliver("second", 2)
+    incremental.refresh(spark, folder, lake)
+    deliver("second", 2, "right(id, 1) IN ('1', '2')")
+    deliver("third", 3)
+    incremental.refresh(spark, folder, lake)
+    deliver("first", 1, "false")
+    incremental.refresh(spark, folder, lake)
+    return _iso(incremental.read_gold(spark, lake), "DATA")
+
+
 # --- profiles --------------------------------------------------------------
 
 

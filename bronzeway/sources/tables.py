@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from bronzeway.session import scratch_path
@@ -62,6 +65,42 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_VERSIONS = "_published"
+
+
+def publish_table(df: DataFrame, path: str, cluster_by: Sequence[str] = ()) -> None:
+    """Store a table as a new version that readers see once all of it is there.
+
+    A version has a folder of its own, and its name is added to a log last. A write that
+    fails, or is seen halfway, leaves the version before as it is. One writer at a time.
+    """
+    spark = df.sparkSession
+    number = 1 + max((v.number for v in versions(spark, path)), default=0)
+    folder = f"version-{number:08}-{uuid.uuid4().hex}"
+    write_table(df, f"{path.rstrip('/')}/{folder}", "errorifexists", cluster_by=cluster_by)
+    entry = spark.range(1).select(F.lit(number).cast("bigint").alias("number"), F.lit(folder).alias("folder"))
+    entry.write.mode("append").parquet(f"{path.rstrip('/')}/{_VERSIONS}")
+
+
+def versions(spark: SparkSession, path: str) -> list[Row]:
+    """``number, folder`` of the published versions, the latest first."""
+    try:
+        log = spark.read.schema("number bigint, folder string").parquet(f"{path.rstrip('/')}/{_VERSIONS}")
+        return log.orderBy(F.desc("number")).collect()
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+
+
+def read_published(spark: SparkSession, path: str) -> DataFrame:
+    """The latest version of a published table."""
+    found = versions(spark, path)
+    if not found:
+        raise ValueError(f"nothing is published in {path}")
+    return read_table(spark, f"{path.rstrip('/')}/{found[0].folder}")
+
+
 @contextmanager
 def cached(df: DataFrame) -> Iterator[DataFrame]:
     """Keep a frame while several results are drawn from it; spills to disk."""

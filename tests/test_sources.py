@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -281,3 +282,104 @@ def test_more_partitions_than_open_files(spark):
     )
     bronze.write_bronze(df, path)
     assert sorted(rows(bronze.read_bronze(spark, path))) == sorted(rows(df))
+
+
+# --- headers, manifest, versions --------------------------------------------
+
+
+def bytes_read(spark):
+    kept = spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics()
+    return sum(s.getBytesRead() for s in kept if s.getScheme() == "file")
+
+
+def test_headers_come_from_the_start_of_a_file(spark, tmp_path):
+    long = tmp_path / "long.csv"
+    with long.open("w") as out:
+        out.write("id;uf\n")
+        for _ in range(600):
+            out.write("1;" + "x" * 99_990 + "\n")
+    write_csv(tmp_path, "short.csv", ["uf", "id"], ["1", "x"])
+    before = bytes_read(spark)
+    found = files.deliveries(spark, paths(spark, tmp_path))
+    assert sorted(d.names for d in found) == [("id", "uf"), ("uf", "id")]
+    assert not any(d.empty for d in found)
+    assert long.stat().st_size > 59e6 and bytes_read(spark) - before < 12e6
+
+
+def test_a_header_may_have_line_breaks_in_quotes(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id;"u\nf";"say ""hi"""\n1;"x\ny";2\n3;z;4\n')
+    (tmp_path / "b.csv").write_text('id;"u\nf";"say ""hi"""\n')
+    write_csv(tmp_path, "c.csv", ["id", "k"], ["5", "6"])
+    # A quote that never ends is no header of the whole file.
+    (tmp_path / "d.csv").write_text('id;"k2\n' + "7;8\n" * 200)
+    found = files.deliveries(spark, paths(spark, tmp_path))
+    shapes = {d.paths[0][-5:]: (d.names, d.multi_line, [s[-5:] for s in d.empty]) for d in found}
+    assert shapes["a.csv"] == (("id", "u\nf", 'say "hi"'), True, ["b.csv"])
+    assert shapes["c.csv"] == (("id", "k"), False, [])
+    assert shapes["d.csv"] == (("id", "k2"), False, [])
+    df = files.read_drifting_csv(spark, [str(tmp_path / n) for n in ("a.csv", "b.csv", "c.csv")])
+    assert sorted(rows(df.select("id", "`u\nf`", "k")), key=str) == [
+        ("1", "x\ny", None), ("3", "z", None), ("5", None, "6"),
+    ]
+
+
+def later(path, seconds):
+    stat = path.stat()
+    os.utime(path, (stat.st_atime + seconds, stat.st_mtime + seconds))
+
+
+def test_changed_files_are_pending(spark, drifting):
+    table = scratch_path(spark, "t")
+    write_csv(drifting, "d.csv", ["id", "uf"])
+    bronze.ingest_files(spark, paths(spark, drifting), table)
+    assert bronze.pending_files(spark, str(drifting), table) == []
+    name = lambda found: [p.rsplit("/", 1)[1] for p in found]
+    # Other rows, of the same length and of another one; the same rows at another time.
+    write_csv(drifting, "b2008.csv", ["id", "uf", "km"], ["2", "MG", "1,6"], ["3", "", ""])
+    write_csv(drifting, "d.csv", ["id", "uf"], ["9", "x"])
+    for file in ("a2007.csv", "b2008.csv"):
+        later(drifting / file, 50)
+    states = {r.path.rsplit("/", 1)[1]: r.state for r in bronze.changed_sources(spark, str(drifting), table).collect()}
+    assert states == {"a2007.csv": "touched", "b2008.csv": "touched", "d.csv": "changed"}
+    pending = bronze.pending_files(spark, str(drifting), table)
+    assert name(pending) == ["b2008.csv", "d.csv"]
+    states = {r.state for r in bronze.changed_sources(spark, str(drifting), table).collect()}
+    assert states == {"touched", "changed"}  # what is the same is noted, what isn't waits
+    loads = {r.source[-9:]: r.load for r in bronze.read_manifest(spark, table).collect()}
+    bronze.ingest_files(spark, pending, table)
+    assert bronze.pending_files(spark, str(drifting), table) == []
+    again = {r.source[-9:]: r.load for r in bronze.read_manifest(spark, table).collect()}
+    assert {k for k in loads if loads[k] != again[k]} == {"b2008.csv", "les/d.csv"}
+    got = rows(bronze.read_bronze(spark, table).select("id", "km"))
+    assert sorted(got, key=str) == [("1", None), ("2", "1,6"), ("3", None), ("4", "7"), ("9", None)]
+
+
+def test_digests_tell_contents_apart_whatever_their_order(spark):
+    def digest(values, columns="a string, b string, source_filename string"):
+        rows = spark.createDataFrame(values, columns).repartition(3)
+        return {r.source: r.digest for r in bronze.content_digests(rows).collect()}
+
+    base = digest([("1", "x", "s"), ("2", None, "s"), ("1", "x", "t")])
+    assert base == digest([("1", "x", "t"), ("2", None, "s"), ("1", "x", "s")])
+    turned = digest([("x", "1", "s"), (None, "2", "s"), ("x", "1", "t")], "b string, a string, source_filename string")
+    assert base == turned
+    assert base["s"] not in (digest([("1", "x", "s")])["s"], digest([("1", "x", "s"), (None, "2", "s")])["s"])
+    assert digest([("1", "x", "s")] * 2) != digest([("1", "x", "s")])
+
+
+def test_a_write_that_fails_leaves_the_published_table(spark):
+    path = scratch_path(spark, "published")
+    with pytest.raises(ValueError):
+        tables.read_published(spark, path)
+    tables.publish_table(spark.range(10), path)
+    broken = spark.range(1000).select(
+        F.when(F.col("id") < 900, F.col("id")).otherwise(F.raise_error(F.lit("no")).cast("bigint")).alias("id")
+    )
+    with pytest.raises(Exception, match="no"):
+        tables.publish_table(broken, path)
+    assert tables.read_published(spark, path).count() == 10
+    # A reader of the version before goes on reading it.
+    old = tables.read_published(spark, path)
+    tables.publish_table(old.union(old), path, cluster_by=["id"])
+    assert (old.count(), tables.read_published(spark, path).count()) == (10, 20)
+    assert [v.number for v in tables.versions(spark, path)] == [2, 1]
