@@ -91,11 +91,13 @@ def repeated_keys(
     make: Callable[..., tuple[np.ndarray, np.ndarray]],
     payload: np.dtype,
     ddl: str,
+    by_batch: bool = False,
 ) -> DataFrame:
     """(key, first, *payload) for all keys that occur twice or more in ``df``.
 
     ``make(*values)`` gives a row's keys (uint64) and its payloads (a structured
-    array whose first field ``who`` tells the rows apart). Each task sorts what
+    array whose first field ``who`` tells the rows apart); with ``by_batch``,
+    ``make(batch)`` gives those of all its rows. Each task sorts what
     it gathers by key; of every key one entry goes to the bucket of the key,
     with a mark if the task has others, and the others pass through any bucket.
     So a key that a third of all rows have reaches its bucket as one entry of
@@ -147,8 +149,8 @@ def repeated_keys(
     def spread(batches):
         parts, held = [], 0
         for batch in batches:
-            for values in zip(*(batch.column(c).to_pylist() for c in columns)):
-                made = make(*values)
+            rows = zip(*(batch.column(c).to_pylist() for c in columns)) if not by_batch else ()
+            for made in make(batch) if by_batch else (make(*values) for values in rows):
                 if len(made[0]):
                     parts.append(made)
                     held += len(made[0])

@@ -9,7 +9,6 @@ share an indexed segment form families, in which all links are verified.
 from __future__ import annotations
 
 import math
-import re
 from functools import lru_cache
 from itertools import groupby
 from typing import NamedTuple
@@ -17,15 +16,12 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bronzeway.llm.common import components, fresh, mix64, repeated_keys, row_mapper, stored
+from bronzeway.llm.common import components, fresh, mix64, repeated_keys, stored, with_fields
 
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
 ANY_WORD = r"[^\x20\x09-\x0D]"
-CAPITALS = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 #: A band of set sizes ends at so many times the end of the one before.
 BAND_RATIO = 1.3
 #: What an entry that unlike sets share costs, in index entries, and the chance
@@ -37,25 +33,110 @@ BLOCK_CHARS = 4 << 20
 FIRST_TEXTS = 4
 
 
-def shingles(text: str | None, n: int) -> np.ndarray:
-    """Hashes (sorted, distinct) of the n-word shingles; A-Z count as a-z.
+#: Bytes whose words are hashed at once; a longer text is cut between words.
+HASHED_BYTES = 1 << 20
+#: Odd, so that its powers can be undone among the 64-bit numbers.
+BASE = 0x9E3779B97F4A7C15
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
-    With fewer words the whole sequence is one shingle; without words the set is
-    empty, also for NULL.
+
+@lru_cache(maxsize=1)
+def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A number for every byte, A-Z as a-z, and powers of BASE and of its inverse."""
+    letters = np.arange(256, dtype=np.uint64)
+    letters[65:91] += np.uint64(32)
+    return mix64(letters + np.uint64(BASE)), *_powers(HASHED_BYTES)
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    inverse = pow(BASE, -1, 1 << 64)
+    return tuple(np.cumprod(np.r_[np.uint64(1), np.full(n - 1, x, np.uint64)]) for x in (BASE, inverse))
+
+
+def _word_hashes(data: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, start) of every word of UTF-8 bytes; no word goes over a break.
+
+    A word's hash is the sum of its bytes' numbers times powers of BASE, shifted back to
+    its start, so it is the same wherever the word stands.
     """
-    words = WORD.findall((text or "").translate(CAPITALS))
-    if not words:
-        return np.empty(0, np.uint64)
-    hashed: dict[str, int] = {}
-    for w in words:
-        if w not in hashed:
-            hashed[w] = xxhash.xxh3_64_intdigest(w)
-    ids = np.fromiter(map(hashed.__getitem__, words), np.uint64, len(words))
-    width = min(n, len(words))
-    total = np.full(len(ids) - width + 1, width, np.uint64)
+    values, powers, inverse = _tables()
+    if len(data) > len(powers):
+        powers, inverse = _powers(len(data))
+    inside = ~_SPACE[data]
+    before, after = np.zeros(len(data), bool), np.zeros(len(data), bool)
+    before[1:], after[:-1] = inside[:-1], inside[1:]
+    before[breaks[breaks < len(data)]] = False
+    after[breaks[breaks > 0] - 1] = False
+    starts, ends = np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values[data] * powers[: len(data)])])
+    hashes = (sums[ends] - sums[starts]) * inverse[starts] if len(starts) else np.empty(0, np.uint64)
+    return mix64(hashes + (ends - starts).astype(np.uint64)), starts
+
+
+def _long_text_hashes(data: np.ndarray) -> np.ndarray:
+    """Hashes of the words of a text of any length, in pieces that end between words."""
+    found, at = [], 0
+    while at < len(data):
+        end = min(at + HASHED_BYTES, len(data))
+        if end < len(data):
+            gaps = np.flatnonzero(_SPACE[data[at:end]])
+            if len(gaps):
+                end = at + int(gaps[-1]) + 1
+            else:
+                # One word: up to its end, however far.
+                later = (i + HASHED_BYTES for i in range(end, len(data), HASHED_BYTES))
+                cut = next((i for i in later if _SPACE[data[i - HASHED_BYTES : i]].any()), None)
+                end = len(data) if cut is None else cut - HASHED_BYTES + int(_SPACE[data[cut - HASHED_BYTES : cut]].argmax()) + 1
+        found.append(_word_hashes(data[at:end], np.empty(0, np.int64))[0])
+        at = end
+    return np.concatenate(found) if found else np.empty(0, np.uint64)
+
+
+def _windows(ids: np.ndarray, width: int) -> np.ndarray:
+    """A hash of every ``width`` consecutive ids."""
+    total = np.full(max(0, len(ids) - width + 1), width, np.uint64)
     for i in range(width):
         total = mix64(total + ids[i : i + len(total)])
-    return np.unique(total)
+    return total
+
+
+def shingle_sets(texts: pa.Array, n: int) -> list[np.ndarray]:
+    """Hashes (sorted, distinct) of the n-word shingles of each text; A-Z count as a-z.
+
+    With fewer words the whole sequence is one shingle; without words the set is
+    empty, also for NULL.
+    """
+    column = texts.cast(pa.large_string()).fill_null("")
+    if not len(column):
+        return []
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(data, np.uint8) if data else np.empty(0, np.uint8)
+    sets: list[np.ndarray] = []
+    first = 0
+    while first < len(column):
+        # Texts of about HASHED_BYTES together; a longer one is alone.
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + HASHED_BYTES, "right")) - 1)
+        own = offsets[first : last + 1] - offsets[first]
+        held = data[offsets[first] : offsets[last]]
+        if len(held) > HASHED_BYTES:
+            ids = _long_text_hashes(held)
+            edges = np.array([0, len(ids)])
+        else:
+            ids, starts = _word_hashes(held, own)
+            edges = np.searchsorted(starts, own)
+        all_windows = _windows(ids, n)
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            found = all_windows[a : b - n + 1] if b - a >= n else _windows(ids[a:b], b - a) if b > a else ids[:0]
+            sets.append(np.unique(found))
+        first = last
+    return sets
+
+
+def shingles(text: str | None, n: int) -> np.ndarray:
+    """The shingles of one text."""
+    return shingle_sets(pa.array([text], pa.string()), n)[0]
 
 
 class Plan(NamedTuple):
@@ -209,15 +290,16 @@ KEY_LIMIT = 4096
 def shared_keys(texts: DataFrame, n: int, percent: int) -> DataFrame:
     """(key, first, who) of index keys that several texts have; ``texts`` has node and text."""
 
-    def make(node, text):
-        tokens = shingles(text, n)
-        keys = index_keys(tokens, percent) if len(tokens) else tokens
-        who = np.empty(len(keys), PAYLOAD)
-        who["who"] = np.uint64(node & 0xFFFFFFFFFFFFFFFF)
-        return keys, who
+    def make(batch):
+        nodes = batch.column("node").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+        for node, tokens in zip(nodes, shingle_sets(batch.column("text"), n)):
+            keys = index_keys(tokens, percent) if len(tokens) else tokens
+            who = np.empty(len(keys), PAYLOAD)
+            who["who"] = node
+            yield keys, who
 
     shared = repeated_keys(
-        texts, ["node", "text"], make, PAYLOAD, "key bigint, first bigint, who bigint"
+        texts, ["node", "text"], make, PAYLOAD, "key bigint, first bigint, who bigint", by_batch=True
     )
     return shared
 
@@ -280,7 +362,7 @@ def refined_edges(members: DataFrame, keys: DataFrame, n: int, percent: int) ->
 
     def sketched(batches):
         for batch in batches:
-            found = [shingles(t, n) for t in batch.column("text").to_pylist()]
+            found = shingle_sets(batch.column("text"), n)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("node"),
@@ -421,10 +503,14 @@ def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def _sizes(rows: DataFrame, n: int) -> DataFrame:
-    schema = pa.schema([("n_shingles", pa.int64())])
-    run = row_mapper(lambda text: (len(shingles(text, n)),), ["text"], schema, ["id", "node"])
-    kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, node bigint, n_shingles bigint")
+    def run(batches):
+        for batch in batches:
+            sizes = pa.array([len(s) for s in shingle_sets(batch.column("text"), n)], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("node"), sizes], names=["id", "node", "n_shingles"]
+            )
+
+    return rows.mapInArrow(run, with_fields(rows.select("id", "node"), n_shingles="bigint"))
 
 
 def _weights(members: DataFrame) -> DataFrame:
@@ -454,7 +540,7 @@ def verified_edges(members: DataFrame, n: int, percent: int) -> DataFrame:
     def group(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.drop_duplicates("node")
         nodes = frame["node"].to_numpy()
-        root = verify([shingles(t, n) for t in frame["text"]], percent, frame["core"].to_numpy())
+        root = verify(shingle_sets(pa.array(frame["text"], pa.string()), n), percent, frame["core"].to_numpy())
         return pd.DataFrame({"a": nodes, "b": nodes[root]})
 
     large = cut.filter("blocks > 1")
