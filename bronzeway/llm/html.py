@@ -4,7 +4,7 @@ Markup decides first: what stands in menus, footers, forms, adverts, comments an
 the like goes, and paragraphs of the article stay. What it leaves open (text in
 bare containers, and pages without an article) forms a token stream per page;
 the streams of a host are searched for long strings that repeat across distinct
-pages, and blocks that these cover are boilerplate.
+pages, and blocks that strings of three pages or more cover are boilerplate.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bronzeway.llm.common import stored
+from bronzeway.llm.common import fresh, stored, with_fields
 from bronzeway.llm.suffixes import CLASS_LIMIT, covered_spans, removed_runs
 from bronzeway.llm.urls import url_parts
 
@@ -27,6 +27,8 @@ from bronzeway.llm.urls import url_parts
 #: tokens that such strings must cover.
 REPEATED_TOKENS = 8
 COVERED_SHARE = 0.5
+#: Distinct pages of a host that must have a string: two versions of an article are no menu.
+LEAST_PAGES = 3
 #: Characters by which a token stands in a stream.
 TOKEN_WIDTH = 8
 
@@ -68,6 +70,10 @@ DROPPED_WORDS = set(
     " copyright disclaimer paywall skip".split()
 )
 HEADERS = {"header", "masthead", "topbar"}
+# What an article that stands alone isn't, whatever else its classes say.
+COMMENTS = set("comment comments reply replies respond disqus".split())
+# Elements that mark words of a sentence: their classes tell a style.
+PHRASES = set("b i em strong u mark code q cite abbr sub sup kbd samp var time dfn s del ins bdi bdo".split())
 ARTICLE_WORDS = ({"article", "body"}, {"post", "content"}, {"entry", "content"}, {"article", "content"})
 
 
@@ -96,7 +102,8 @@ def _kind(name: str, attributes: str, inside: bool) -> str:
         return "dropped"
     content = found.get("itemprop", "").lower() == "articlebody" or role in ("main", "article")
     content = content or any(w <= words for w in ARTICLE_WORDS)
-    if name not in ("html", "body") and not content:
+    words -= set() if inside or name not in CONTAINERS else DROPPED_WORDS - COMMENTS
+    if name not in ("html", "body") and name not in PHRASES and not content:
         if role in DROPPED_ROLES or words & DROPPED_WORDS or (not inside and words & HEADERS):
             return "dropped"
     return "container" if content or name in CONTAINERS else ""
@@ -234,71 +241,63 @@ def extract_text(
     """Replace the html by ``text``, its article, and ``n_chars``, its length.
 
     Blocks are joined by two line breaks. NULL, empty and text-less pages have an
-    empty text. Pages whose url is NULL or has no host form a host of their own.
-    Repeated rows are pages each; a page's own repeats aren't boilerplate. Input
-    columns ``text`` and ``n_chars`` are replaced, others pass through.
+    empty text; pages of any length are read whole, and no rows give none. Pages whose url
+    is NULL or has no host form a host of their own. Open text goes where strings cover it
+    that LEAST_PAGES distinct streams of the host have: pages with equal streams count as
+    one and all get its text, and a page's own repeats aren't boilerplate. Repeated rows
+    are pages each. Input columns ``text`` and ``n_chars`` are replaced, others pass
+    through, whatever their names.
     """
-    keep = [c for c in pages.columns if c not in (page, "text", "n_chars")]
-    host = "_host"
-    rows = pages.withColumn(host, url_parts(F.col(url))[0])
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema if f.name in keep)
+    keep = [c for c in pages.columns if c.lower() not in (page.lower(), "text", "n_chars")]
+    host, held, stream, key, runs = (fresh(c, pages.columns) for c in ("host", "blocks", "stream", "key", "runs"))
+    rows = pages.select(*(F.col(f"`{c}`") for c in keep), url_parts(F.col(url))[0].alias(host), F.col(page).alias(held))
+    kind = pa.list_(pa.struct([("text", pa.string()), ("open", pa.bool_())]))
+    kept = rows.select(*(f"`{c}`" for c in keep))
 
-    def closed(batches):
+    def parsed(batches):
         for batch in batches:
-            texts, at = [], []
-            for i, (name, source) in enumerate(zip(batch.column(host).to_pylist(), batch.column(page).to_pylist())):
-                blocks = page_blocks(source)
-                if not any(b.open for b in blocks):
-                    texts.append(join_blocks(blocks, []))
-                    at.append(i)
+            found = [page_blocks(source) for source in batch.column(held).to_pylist()]
+            streams = [token_stream(n, b) for n, b in zip(batch.column(host).to_pylist(), found)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c).take(pa.array(at, pa.int64())) for c in keep]
-                + [pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
-                names=[*keep, "text", "n_chars"],
-            )
-
-    def undecided(batches):
-        kind = pa.list_(pa.struct([("text", pa.string()), ("open", pa.bool_())]))
-        for batch in batches:
-            held, streams, at = [], [], []
-            for i, (name, source) in enumerate(zip(batch.column(host).to_pylist(), batch.column(page).to_pylist())):
-                blocks = page_blocks(source)
-                if any(b.open for b in blocks):
-                    held.append([b._asdict() for b in blocks])
-                    streams.append(token_stream(name, blocks))
-                    at.append(i)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c).take(pa.array(at, pa.int64())) for c in keep]
-                + [pa.array(held, kind), pa.array(streams, pa.string())],
-                names=[*keep, "_blocks", "_stream"],
+                [batch.column(c) for c in keep]
+                + [pa.array([[b._asdict() for b in blocks] for blocks in found], kind), pa.array(streams, pa.string())],
+                names=[*keep, held, stream],
             )
 
-    wanted = rows.select(*keep, host, page) if page in pages.columns else rows
-    done = wanted.mapInArrow(closed, f"{types}, text string, n_chars bigint")
-    left = stored(wanted.mapInArrow(undecided, f"{types}, _blocks {_BLOCKS}, _stream string"), "pages")
-    left = left.withColumn("_key", F.xxhash64("_stream"))
+    every = stored(rows.mapInArrow(parsed, with_fields(kept, **{held: _BLOCKS, stream: "string"})), "pages")
     length = tokens * TOKEN_WIDTH
-    streams = left.groupBy("_key").agg(F.first("_stream").alias("text"), F.count("*").alias("copies"))
-    streams = streams.withColumnRenamed("_key", "short")
-    plain = streams.select("short", "text")
-    spans = covered_spans(plain, plain, length, length // 2, limit, across=True)
-    known = streams.select(F.col("short").alias("_key"), "copies").join(
-        spans.withColumnRenamed("short", "_key"), "_key", "left"
-    )
+    # Pages with the same open text are one; those without any have no stream to search.
+    texts = every.filter(F.length(stream) >= length).select(F.xxhash64(stream).alias("short"), F.col(stream).alias("text"))
+    texts = texts.groupBy("short").agg(F.first("text").alias("text"))
+    spans = stored(covered_spans(texts, texts, length, length // 2, limit, across=True), "spans")
+    windows = shared_windows(spans, texts, length)
+    found = windows.groupBy("short").agg(F.array_sort(F.collect_list("start")).alias(runs)).withColumnRenamed("short", key)
 
     def assemble(batches):
         for batch in batches:
-            texts = []
-            for held, stream, copies, found in zip(*(batch.column(c).to_pylist() for c in ("_blocks", "_stream", "copies", "spans"))):
-                runs = removed_runs([(s["start"], s["n"]) for s in found or ()], length)
-                if copies > 1 and len(stream) >= length:
-                    runs = [(0, len(stream))]
-                texts.append(join_blocks([Block(**b) for b in held], runs))
+            out = []
+            for blocks, starts in zip(batch.column(held).to_pylist(), batch.column(runs).to_pylist()):
+                covered = removed_runs([(s, 1) for s in starts or ()], length)
+                out.append(join_blocks([Block(**b) for b in blocks], covered))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in keep]
-                + [pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
+                + [pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())],
                 names=[*keep, "text", "n_chars"],
             )
 
-    opened = left.join(known, "_key").select(*keep, "_blocks", "_stream", "copies", "spans")
-    return done.union(opened.mapInArrow(assemble, f"{types}, text string, n_chars bigint"))
+    closed = every.filter(F.length(stream) < length).withColumn(runs, F.lit(None).cast("array<bigint>"))
+    opened = every.filter(F.length(stream) >= length).withColumn(key, F.xxhash64(stream)).join(found, key, "left")
+    columns = [*(f"`{c}`" for c in keep), f"`{held}`", f"`{runs}`"]
+    both = closed.select(*columns).union(opened.select(*columns))
+    return both.mapInArrow(assemble, with_fields(kept, text="string", n_chars="bigint"))
+
+
+def shared_windows(spans: DataFrame, texts: DataFrame, length: int) -> DataFrame:
+    """(short, start) of repeated windows that LEAST_PAGES distinct texts have."""
+    each = spans.select("short", F.explode("spans").alias("s")).select(
+        "short", F.explode(F.sequence(F.col("s.start"), F.col("s.start") + F.col("s.n") - 1)).alias("start")
+    )
+    window = F.xxhash64(F.substring("text", F.col("start").cast("int") + 1, F.lit(length)))
+    each = each.distinct().join(texts, "short").select("short", "start", window.alias("window"))
+    pages = each.select("window", "short").distinct().groupBy("window").agg(F.count("*").alias("n"))
+    return each.join(pages.filter(F.col("n") >= LEAST_PAGES).select("window"), "window", "left_semi").select("short", "start")

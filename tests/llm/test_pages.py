@@ -151,6 +151,8 @@ def text_of(page):
         ("<body><div hidden>no</div><div style='display: none'>no</div><p>yes", "yes"),
         ("<article><pre>a\n  b</pre><table><tr><td>1<td>2<tr><td>3</table></article>", "a b\n\n1 2\n\n3"),
         ("a < b and 3 > 2", "a < b and 3 > 2"),
+        ('<article class="post widget social"><p>kept <b class="banner">words</b> too</article>', "kept words too"),
+        ('<article class="comment"><p>no</p></article><article><p>yes</p></article>', "yes"),
     ],
 )
 def test_article_text(page, text):
@@ -171,10 +173,65 @@ def test_repeats_across_a_host_go(spark):
     for i in range(6):  # a page's own repeats stay
         assert found[i] == f"{words(i)}\n\n{words(i)}"
     assert found[10] == boiler and found[11] == found[12] == "" and found[13] == boiler
-    assert found[14] == ""  # the same page twice repeats itself
+    assert found[14] == words(99)  # twice the same page is one page
     counted = {r.page_id: r.text for r in html.extract_text(frame, limit=1).collect()}
     assert counted == found
 
 
+def texts_by_hand(rows, tokens):
+    """Texts of pages (id, host, html): open blocks that strings of three other streams cover go."""
+    parsed = {i: html.page_blocks(page) for i, _, page in rows}
+    stream = {i: tuple(t for b in parsed[i] if b.open for t in b.text.split()) for i, _, _ in rows}
+    pages = {}
+    for _, host, streams in {(0, host, stream[i]) for i, host, _ in rows}:
+        for k in range(len(streams) - tokens + 1):
+            pages.setdefault((host, streams[k : k + tokens]), set()).add(streams)
+    out = {}
+    for i, host, _ in rows:
+        words, gone = stream[i], set()
+        for k in range(len(words) - tokens + 1):
+            if len(pages[host, words[k : k + tokens]]) >= html.LEAST_PAGES:
+                gone.update(range(k, k + tokens))
+        kept, at = [], 0
+        for block in parsed[i]:
+            n = len(block.text.split()) if block.open else 0
+            if not block.open or len(gone & set(range(at, at + n))) < html.COVERED_SHARE * n:
+                kept.append(block.text)
+            at += n
+        out[i] = "\n\n".join(kept)
+    return out
+
+
+def test_texts_equal_brute_force(spark):
+    rng = random.Random(6)
+    pool = [" ".join(rng.choice("abcdefgh") + str(rng.randrange(9)) for _ in range(rng.randint(3, 14))) for _ in range(25)]
+    rows = []
+    for i in range(80):
+        blocks = [rng.choice(pool) for _ in range(rng.randint(0, 5))] + [f"own{i} " * rng.randint(0, 9)]
+        rng.shuffle(blocks)
+        tag = rng.choice(["div", "div", "div", "p"])
+        around = ("<article>", "</article>") if rng.random() < 0.2 else ("", "")
+        page = around[0] + "".join(f"<{tag}>{b}</{tag}>" for b in blocks) + around[1]
+        rows.append((i, f"h{i % 3}.org", page))
+    rows += [(80 + i, rows[i][1], rows[i][2]) for i in range(10)]
+    frame = spark.createDataFrame([(i, f"http://{h}/{i}", p) for i, h, p in rows], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html.extract_text(frame, tokens=4).collect()}
+    expected = texts_by_hand(rows, 4)
+    assert got == expected
+    whole = {i: html.join_blocks(html.page_blocks(p), []) for i, _, p in rows}
+    assert sum(got[i] != whole[i] for i in got) > 20 and sum(got[i] == whole[i] for i in got) > 10
+
+
+def test_pages_take_clashing_names_and_long_pages(spark):
+    names = ["copies", "spans", "_key", "_stream", "_blocks", "_host", "host", "blocks", "stream", "key", "runs", "short"]
+    ddl = "page_id long, url string, html string, " + ", ".join(f"`{n}` string" for n in names)
+    long = "<article>" + "<p>some words of a long page</p>" * 150_000 + "</article>"
+    rows = [(1, "http://a.org/", long), (2, "http://a.org/", "<div>x y z</div>"), (3, None, None)]
+    got = html.extract_text(spark.createDataFrame([(*r, *names) for r in rows], ddl)).collect()
+    assert all(tuple(r[n] for n in names) == tuple(names) for r in got)
+    texts = {r.page_id: r.text for r in got}
+    assert texts[1].count("some words") == 150_000 and (texts[2], texts[3]) == ("x y z", "")
+
+
 def test_no_pages(spark):
     assert html.extract_text(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
