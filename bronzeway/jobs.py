@@ -21,10 +21,10 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from bronzeway import values as v
-from bronzeway.operators.schema import column_presence, common_columns, sample_rows
+from bronzeway.operators.schema import column_presence, common_columns
 from bronzeway.plans import accidents, incremental
 from bronzeway.session import make_session
-from bronzeway.sources.bronze import read_bronze
+from bronzeway.sources.bronze import read_bronze, sample_bronze
 from bronzeway.sources.files import list_source_files, read_drifting_csv, read_headers
 from bronzeway.sources.geo import read_geojson, read_topojson_attributes
 from bronzeway.sources.tables import cached, read_table, write_table
@@ -56,9 +56,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     elif args.job == "profile":
         _profile(read_drifting_csv(spark, _paths(spark, args.source)), args.target)
     elif args.job == "sample":
-        sample = sample_rows(
-            read_bronze(spark, args.source), v.SAMPLE_FRACTION, v.SAMPLE_SEED
-        )
+        sample = sample_bronze(spark, args.source, v.SAMPLE_FRACTION, v.SAMPLE_SEED)
         write_table(sample, args.target)
     elif args.job == "columns":
         headers = read_headers(spark, _paths(spark, args.source))

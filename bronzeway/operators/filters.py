@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,13 +26,38 @@ def facets(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return value_counts(df, cols).select("column", "value")
 
 
-def _selected(c: Column, values: Sequence, kind: DataType) -> Column:
+def _literal(value) -> str:
+    """A value as SQL text, typed as the literal of it would be."""
+    if isinstance(value, str):
+        quoted = value.replace("\\", "\\\\").replace("'", "\\'")
+        return f"'{quoted}'"
+    if isinstance(value, bool):
+        return str(value).upper()
+    if isinstance(value, datetime.datetime):
+        return f"TIMESTAMP'{value.isoformat(' ')}'"
+    if isinstance(value, datetime.date):
+        return f"DATE'{value.isoformat()}'"
+    if isinstance(value, int):
+        return str(value)
+    if isinstance(value, float):
+        return f"double('{value!r}')"
+    if isinstance(value, Decimal):
+        return f"{value:f}BD"
+    raise TypeError(f"no selection by {type(value).__name__}")
+
+
+def _selected(column: str, values: Sequence, kind: DataType) -> Column:
     """Whether a column has one of the values, which are read as its type.
 
-    A value that isn't of the type selects nothing. The literals reach the scan.
+    A value that isn't of the type selects nothing. The list is one expression, parsed
+    at once however long it is, and its literals reach the scan.
     """
-    listed = [F.lit(v).try_cast(kind) for v in dict.fromkeys(values) if v is not None]
-    hit = c.isin(*listed) if listed else F.lit(False)
+    listed = dict.fromkeys(v for v in values if v is not None)
+    c, name = F.col(column), column.replace("`", "``")
+    hit = F.lit(False)
+    if listed:
+        items = ", ".join(f"try_cast({_literal(v)} AS {kind.simpleString()})" for v in listed)
+        hit = F.expr(f"`{name}` IN ({items})")
     return hit | c.isNull() if None in values else hit
 
 
@@ -49,5 +76,5 @@ def facet_filter(
         df = df.filter(within_years(F.col(date), *years))
     for column, values in (selections or {}).items():
         if values:
-            df = df.filter(_selected(F.col(column), values, df.schema[column].dataType))
+            df = df.filter(_selected(column, values, df.schema[column].dataType))
     return df

@@ -85,3 +85,33 @@ def sample_rows(
     digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
     position = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
     return df.filter(position < int(fraction * 2**32))
+
+
+def sample_blocks(
+    spark: SparkSession, path: str, fraction: float, seed: int, spread: float = 2.0
+) -> DataFrame:
+    """About a share of the rows of a Parquet table, from few of its files.
+
+    First files are drawn, ``spread`` times the share of them and one at least, in the
+    order of a seeded hash of their names; then rows of these, so many that a row is
+    in with the probability ``fraction``. So what is read is about ``spread`` times
+    what is kept, where a sample of rows reads all. Rows of a file are often alike: a
+    larger ``spread`` reads more files for it. ``weight`` is how many rows of the table
+    a sampled one stands for, and sums to about their number.
+    """
+    listed = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", "*.parquet")
+        .load(path)
+        .select("path", "length")
+    )
+    drawn = F.xxhash64(F.lit(seed), F.regexp_extract("path", "[^/]*$", 0))
+    n = listed.count()
+    files = max(1, min(n, round(spread * fraction * n)))
+    chosen = listed.orderBy(drawn, "path").limit(files).select("path").collect()
+    share = files / n if n else 1.0
+    within = min(1.0, fraction / share)
+    # Partition columns are part of the paths; the first row groups tell the others.
+    rows = spark.read.option("basePath", path).option("mergeSchema", "true")
+    rows = rows.parquet(*(r.path for r in chosen)) if chosen else rows.parquet(path)
+    return rows.sample(within, seed).withColumn("weight", F.lit(1 / (share * within)))

@@ -527,6 +527,31 @@ ORACLES = {
         " cast(cast(o_orderdate AS date) AS varchar), NULL FROM orders"
         " UNION ALL SELECT cast(o_orderkey AS varchar), NULL, NULL, NULL, NULL, o_orderstatus FROM orders"
     ),
+    "topojson_rings": (
+        "SELECT k::varchar AS id, name, 'states' AS object, count(*)::int AS n_rings,"
+        " (5 * count(*))::int AS n_points, round(0.125::double * count(*), 6) AS area,"
+        " round(sum(0.5 * (5 * (cell % 5) + 2) - 350), 6)::double AS sum_x,"
+        " round(sum(0.25 * (5 * (cell // 5) + 2) - 150), 6)::double AS sum_y, true AS closed"
+        " FROM (SELECT n_nationkey AS k, n_name AS name, unnest(CASE WHEN n_nationkey % 5 = 4"
+        " THEN [n_nationkey, n_nationkey + 100] ELSE [n_nationkey] END) AS cell FROM nation)"
+        " GROUP BY k, name"
+    ),
+    "layers_reconciled": (
+        "WITH r AS (SELECT CASE WHEN year(l_shipdate) < 1998 THEN 1 WHEN year(l_shipdate) < 2000 THEN 2"
+        " ELSE 3 END AS s, l_linenumber % 10 IN (1, 2) AS few FROM lineitem),"
+        " n AS (SELECT count(*) FILTER (s = 1) AS a, count(*) FILTER (s = 2) AS b,"
+        " count(*) FILTER (s = 2 AND few) AS c, count(*) FILTER (s = 3) AS d FROM r),"
+        " runs AS (SELECT 1 AS run, a + b AS changed, a + b AS total FROM n"
+        " UNION ALL SELECT 2, c + d, a + c + d FROM n UNION ALL SELECT 3, 0, c + d FROM n)"
+        " SELECT run::BIGINT AS run, layer, CASE layer WHEN 'gold' THEN total ELSE changed END AS rows,"
+        " CASE layer WHEN 'gold' THEN total ELSE changed END AS expected, true AS agrees"
+        " FROM runs, (VALUES ('silver'), ('parts'), ('gold')) l(layer)"
+    ),
+    "sample_blocks_bronze": (
+        "SELECT 0::BIGINT AS outside, 0::BIGINT AS repeated, true AS share_ok, true AS weights_ok,"
+        " true AS files_ok FROM orders LIMIT 1"
+    ),
+    "report_kept": _REPORT,
     "incremental_changed": (
         "SELECT cast(o_orderkey AS varchar) AS o_orderkey,"
         " CASE WHEN y < 1997 THEN lower(o_orderstatus) ELSE o_orderstatus END AS o_orderstatus,"

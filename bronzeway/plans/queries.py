@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from bronzeway import values as v
 from bronzeway.operators import (
@@ -25,7 +26,7 @@ from bronzeway.operators import (
 from bronzeway.plans import accidents, incremental, roles
 from bronzeway.session import own_session, scratch_path
 from bronzeway.sources import bronze, files, tables
-from bronzeway.sources.geo import read_geojson, read_topojson_attributes
+from bronzeway.sources.geo import read_geojson, read_topojson_attributes, read_topojson_rings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -447,9 +448,8 @@ def medallion_gold(spark, sf):
     return _iso(tables.read_table(spark, f"{lake}/gold"), "DATA")
 
 
-@query
-def gold_incremental(spark, sf):
-    """Gold kept up to date: a source is added, one comes with fewer rows, one with none."""
+def _changing_lake(spark, sf) -> str:
+    """A lake after three runs: a source is added, one comes with fewer rows, one with none."""
     split = "CASE WHEN year(l_shipdate) < 1998 THEN 1 WHEN year(l_shipdate) < 2000 THEN 2 ELSE 3 END"
     path = scratch_path(spark, "slices")
     made = roles.frame(spark, sf, {**roles.RAW, "_slice": split})
@@ -469,7 +469,19 @@ def gold_incremental(spark, sf):
     incremental.refresh(spark, folder, lake)
     deliver("first", 1, "false")
     incremental.refresh(spark, folder, lake)
-    return _iso(incremental.read_gold(spark, lake), "DATA")
+    return lake
+
+
+@query
+def gold_incremental(spark, sf):
+    """Gold kept up to date, source by source."""
+    return _iso(incremental.read_gold(spark, _changing_lake(spark, sf)), "DATA")
+
+
+@query
+def layers_reconciled(spark, sf):
+    """What each layer was written with, run by run, against the rows of bronze."""
+    return incremental.reconciled(spark, _changing_lake(spark, sf))
 
 
 # --- profiles --------------------------------------------------------------
@@ -532,6 +544,39 @@ def sample_bernoulli(spark, sf):
     )
 
 
+@query
+def sample_blocks_bronze(spark, sf):
+    """A sample of a bronze table from some of its files: what must hold.
+
+    No row from outside of the table, none twice, about the share of the files, all rows
+    of one weight, and about as many rows as the weights say.
+    """
+    path = scratch_path(spark, "bronze")
+    orders = _orders(spark, sf).select("o_orderkey", "o_orderstatus")
+    for name, rest in (("even", 0), ("odd", 1)):
+        part = orders.filter(F.col("o_orderkey") % 2 == rest).withColumn(v.SOURCE_COLUMN, F.lit(name))
+        bronze.append_bronze(part.repartition(40, "o_orderkey"), path)
+    table = bronze.read_bronze(spark, path)
+    fraction = 4 * v.SAMPLE_FRACTION
+    taken = bronze.sample_bronze(spark, path, fraction, v.SAMPLE_SEED)
+    n_files = table.select(F.count_distinct(F.col("_metadata.file_name"))).first()[0]
+    used = taken.select(F.col("o_orderkey"), "weight").withColumn("n", F.lit(1))
+    marked = table.select("o_orderkey", F.lit(0.0).alias("weight"), F.lit(0).alias("n")).union(
+        used.select("o_orderkey", "weight", "n")
+    )
+    per_row = marked.groupBy("o_orderkey").agg(
+        F.count("*").alias("seen"), F.sum("n").alias("n"), F.sum("weight").alias("weight")
+    )
+    read = taken.select(F.count_distinct(F.col("_metadata.file_name"))).first()[0]
+    return per_row.agg(
+        F.count_if(F.col("seen") == F.col("n")).alias("outside"),
+        F.count_if(F.col("n") > 1).alias("repeated"),
+        (F.abs(F.sum("n") / F.count("*") - fraction) < 0.08).alias("share_ok"),
+        (F.abs(F.sum("weight") / F.count("*") - 1) < 0.4).alias("weights_ok"),
+        F.lit(read <= 2 * fraction * n_files + 1).alias("files_ok"),
+    )
+
+
 @query
 def rate_edges(spark, sf):
     """More groups than are shown; some with deaths over nobody, some without either."""
@@ -746,6 +791,23 @@ def report_panels(spark, sf):
     )
 
 
+@query
+def report_kept(spark, sf):
+    """A report asked for twice, the second time with its values in another order."""
+    suppliers = roles.table(spark, sf, "supplier").select(
+        F.col("s_suppkey").cast("string").alias(v.HIGHWAY_DIM_KEY)
+    )
+    nation = roles.table(spark, sf, "nation").select(F.col("n_name").alias(v.STATE_DIM_KEY))
+    lake, store = scratch_path(spark, "lake"), scratch_path(spark, "kept")
+    tables.publish_table(_gold(spark, sf), f"{lake}/gold", cluster_by=["DATA"])
+    types = ["1-URGENT", "5-LOW", "2-HIGH"]
+    for listed in (types, types[::-1]):
+        shown = incremental.kept_report(
+            spark, lake, store, suppliers, nation, years=(1996, 1999), types=listed
+        )
+    return shown
+
+
 # --- geometry --------------------------------------------------------------
 
 
@@ -848,7 +910,10 @@ def geojson_collections(spark, sf):
         )
     )
     files_of.write.partitionBy("file").text(path)
-    lines = read_geojson(spark, path).drop("file")
+    # A file is cut into splits of 4 KB, most of them amid a feature.
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    kind = StructType([StructField(v.HIGHWAY_DIM_KEY, StringType())])
+    lines = read_geojson(spark, path, properties=kind)
     return _dissolved(lines, v.HIGHWAY_DIM_KEY, F.flatten)
 
 
@@ -879,3 +944,62 @@ def topojson_join(spark, sf):
         F.col("s_nationkey").cast("string").alias("SG_UF"), F.lit(1).alias(COUNT)
     )
     return accidents.by_state(suppliers, states)
+
+
+@query
+def topojson_rings(spark, sf):
+    """Nations as cells of a grid, their borders stored once, read back as rings.
+
+    Every fifth nation has a second cell, far away. A border is an arc of two steps on a
+    grid; cells above and to the left of it take it the other way round.
+    """
+    path = scratch_path(spark, "rings")
+    nations = roles.table(spark, sf, "nation").select(
+        F.col("n_nationkey").cast("int").alias("k"), F.col("n_name").alias("name")
+    )
+    cells = nations.select(
+        "k", "name", F.explode(F.when(F.col("k") % 5 == 4, F.array("k", F.col("k") + 100)).otherwise(F.array("k"))).alias("cell")
+    ).select("k", "name", "cell", (F.col("cell") % 5).alias("c"), F.floor(F.col("cell") / 5).cast("int").alias("r"))
+    # The border below a cell is arc 2 * number, the one to its left the arc behind it; the
+    # number of a place is 6 * row + column, as a row of cells has one more border.
+    at = lambda r, c: 2 * (6 * F.col("r") + F.col("c") + 6 * r + c)
+    ring = F.array(at(0, 0), at(0, 1) + 1, -1 - at(1, 0), -1 - (at(0, 0) + 1))
+    shapes = cells.groupBy("k", "name").agg(F.array_sort(F.collect_list(F.struct("cell", ring.alias("ring"))))["ring"].alias("rings"))
+    one = F.size("rings") == 1
+    geometry = F.struct(
+        F.col("k").cast("string").alias("id"),
+        F.struct("name").alias("properties"),
+        F.when(one, "Polygon").otherwise("MultiPolygon").alias("type"),
+        F.lit("@").alias("arcs"),
+    )
+    nested = F.when(one, F.to_json("rings")).otherwise(F.to_json(F.transform("rings", lambda x: F.array(x))))
+    geometries = shapes.select(F.replace(F.to_json(geometry), F.lit('"@"'), nested).alias("g"))
+    places = spark.range(6 * 27).select(F.floor(F.col("id") / 6).cast("int").alias("r"), (F.col("id") % 6).cast("int").alias("c"), "id")
+    start, flat, up = F.array("c", "r"), F.array(F.lit(1), F.lit(0)), F.array(F.lit(0), F.lit(1))
+    arcs = places.select("id", F.to_json(F.array(start, flat)).alias("below"), F.to_json(F.array(start, up)).alias("left"))
+    # A dimension of 25 rows, and by format one document.
+    arc_text = arcs.agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("id", "below", "left"))),
+                                 lambda a: F.concat_ws(",", a["below"], a["left"])), ",").alias("arcs"))
+    geometries.agg(F.array_join(F.collect_list("g"), ",").alias("g")).join(arc_text).select(
+        F.concat(
+            F.lit('{"type":"Topology","transform":{"scale":[0.5,0.25],"translate":[-70,-30]},'
+                  '"objects":{"states":{"type":"GeometryCollection","geometries":['),
+            "g", F.lit(']}},"arcs":['), "arcs", F.lit("]}"),
+        ).alias("value")
+    ).write.text(path)
+    rings = read_topojson_rings(spark, path)
+    total = lambda axis: F.aggregate("points", F.lit(0.0), lambda t, p: t + p[axis])
+    after = F.slice("points", 2, F.size("points"))
+    area = F.aggregate(
+        F.zip_with(after, F.slice("points", 1, F.size("points") - 1), lambda b, a: a[0] * b[1] - b[0] * a[1]),
+        F.lit(0.0), lambda t, x: t + x / 2,
+    )
+    return rings.groupBy("id", "name", "object").agg(
+        F.count("*").cast("int").alias("n_rings"),
+        F.sum(F.size("points")).cast("int").alias("n_points"),
+        F.round(F.sum(area), 6).alias("area"),
+        F.round(F.sum(total(0)), 6).alias("sum_x"),
+        F.round(F.sum(total(1)), 6).alias("sum_y"),
+        F.bool_and(F.get("points", F.lit(0)) == F.element_at("points", -1)).alias("closed"),
+    )

@@ -8,7 +8,7 @@ from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -101,6 +101,12 @@ def read_published(spark: SparkSession, path: str) -> DataFrame:
     return read_table(spark, f"{path.rstrip('/')}/{found[0].folder}")
 
 
+def observed(df: DataFrame, **metrics: Column) -> tuple[DataFrame, Observation]:
+    """A frame and what is counted on the way when it is next written, without a pass of its own."""
+    seen = Observation(f"observed-{uuid.uuid4().hex}")
+    return df.observe(seen, *(m.alias(name) for name, m in metrics.items())), seen
+
+
 @contextmanager
 def cached(df: DataFrame) -> Iterator[DataFrame]:
     """Keep a frame while several results are drawn from it; spills to disk."""

@@ -1,5 +1,6 @@
 import datetime
 import random
+import time
 from collections import defaultdict
 
 import pytest
@@ -307,3 +308,23 @@ def test_with_position(spark):
     assert placed.columns == ["position"]
     assert sorted(r[0] for r in placed.collect()) == list(range(1, 1001))
     assert rows(ranking.with_position(df.limit(0), ["v"])) == []
+
+
+def test_a_long_selection_is_built_at_once_and_reaches_the_scan(spark, tmp_path):
+    spark.range(4000).selectExpr("id", "cast(id AS string) AS t", "date_add(DATE'2000-01-01', cast(id AS int)) AS d").write.parquet(
+        path := str(tmp_path / "t")
+    )
+    table = spark.read.parquet(path)
+    start = time.perf_counter()
+    chosen = filters.facet_filter(table, selections={"t": [str(i) for i in range(0, 6000, 2)], "id": list(range(0, 3000))})
+    text = chosen._jdf.queryExecution().executedPlan().toString()
+    assert time.perf_counter() - start < 3
+    assert "In(t" in text and chosen.count() == 1500
+    odd = ["it's", "back\\slash", "new\nline", "dou\"ble", "`tick`", "", "é", None]
+    df = spark.createDataFrame([(x,) for x in [*odd, "other"]], "`a b` string")
+    for value in odd:
+        assert rows(filters.facet_filter(df, selections={"a b": [value]})) == [(value,)]
+    assert len(rows(filters.facet_filter(df, selections={"a b": odd}))) == len(odd)
+    days = [datetime.date(2000, 1, 2), "2000-01-03", "no day"]
+    assert filters.facet_filter(table, selections={"d": days}).count() == 2
+    assert filters.facet_filter(table, selections={"id": ["7", 8, 9.0, "x", None]}).count() == 3

@@ -1,13 +1,14 @@
 import json
 import os
+import random
 
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from bronzeway import values as v
-from bronzeway.session import scratch_path
+from bronzeway.session import own_session, scratch_path
 from bronzeway.sources import bronze, files, geo, tables
 
 
@@ -383,3 +384,71 @@ def test_a_write_that_fails_leaves_the_published_table(spark):
     tables.publish_table(old.union(old), path, cluster_by=["id"])
     assert (old.count(), tables.read_published(spark, path).count()) == (10, 20)
     assert [v.number for v in tables.versions(spark, path)] == [2, 1]
+
+
+def test_a_block_sample_reads_few_files(spark):
+    table = scratch_path(spark, "t")
+    rows_ = spark.range(40_000).select(F.sha2(F.col("id").cast("string"), 512).alias("a"), F.lit("s").alias(v.SOURCE_COLUMN))
+    bronze.append_bronze(rows_.repartition(100), table)
+    bronze.replace_sources(spark, None, ["empty"], table)
+    total = sum(r.length for r in spark.read.format("binaryFile").load(table).select("length").collect())
+    taken = bronze.sample_bronze(spark, table, 0.05, 3)
+    before = bytes_read(spark)
+    got = taken.collect()
+    # A tenth of the files for a twentieth of the rows, and their footers.
+    assert bytes_read(spark) - before < 0.2 * total
+    assert set(taken.columns) == {"a", v.SOURCE_COLUMN, "weight"} and 1200 < len(got) < 2800
+    assert abs(sum(r.weight for r in got) / 40_000 - 1) < 0.4
+    again = bronze.sample_bronze(spark, table, 0.05, 3).collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, again))
+    assert bronze.sample_bronze(spark, table, 1.0, 3).count() == 40_000
+
+
+def test_collections_are_split_between_features(spark, tmp_path):
+    rng = random.Random(1)
+    odd = ['a"b', "{", "}[", "\\", '\\"{', "x]", 'é{"}', "", "\n{\n", '\\\\"']
+    expected = []
+    for n in range(2):
+        features = []
+        for i in range(200):
+            text = rng.choice(odd) + rng.choice(odd)
+            line = {"type": "LineString", "coordinates": [[i, 0.5], [1, 2]]}
+            features.append({"type": "Feature", "properties": {"vl_br": str(i), "t": text}, "geometry": line if i % 5 else None})
+            expected.append((str(i), text, [[[float(i), 0.5], [1.0, 2.0]]] if i % 5 else None))
+        document = {
+            "type": "FeatureCollection", "name": "x{y", "crs": {"type": "name", "properties": {"name": "urn"}},
+            "features": features, "more": {"a": [1, {"b": 2}]},
+        }
+        (tmp_path / f"{n}.json").write_text(json.dumps(document, indent=n * 2 or None, ensure_ascii=n == 0))
+    (tmp_path / "none.json").write_text('{"type":"FeatureCollection","features":[]}')
+    (tmp_path / "empty.json").write_text("")
+    session = own_session(spark)
+    session.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    assert session.read.option("lineSep", "{").text(str(tmp_path)).rdd.getNumPartitions() >= 4
+    kind = StructType([StructField("vl_br", StringType()), StructField("t", StringType())])
+    got = rows(geo.read_geojson(session, str(tmp_path), properties=kind))
+    assert sorted(got, key=repr) == sorted(expected, key=repr)
+
+
+def test_rings_of_shared_arcs(spark, tmp_path):
+    # Two cells side by side; the border between them is one arc. One has a hole.
+    arcs = [[[1, 0], [0, 1]], [[1, 1], [-1, 0], [0, -1], [1, 0]], [[1, 0], [1, 0], [0, 1], [-1, 0]], [[0, 0], [1, 0], [0, 1], [-1, -1]]]
+    states = [
+        {"id": "W", "type": "Polygon", "arcs": [[0, 1], [3]], "properties": {"n": 1}},
+        {"id": "E", "type": "MultiPolygon", "arcs": [[[2, -1]], [[-4]]], "properties": {"n": 2}},
+        {"id": "P", "type": "Point", "coordinates": [0, 0], "properties": {"n": 3}},
+        {"type": None},
+    ]
+    topology = {"type": "Topology", "objects": {"s": {"type": "GeometryCollection", "geometries": states}}, "arcs": arcs}
+    for name, more in (("grid", {"transform": {"scale": [10, 100], "translate": [5, 7]}}), ("plain", {})):
+        (tmp_path / f"{name}.json").write_text(json.dumps({**topology, **more}))
+    got = {(r.id, r.n, r.object, r.polygon, r.ring): r.points for r in geo.read_topojson_rings(spark, str(tmp_path / "grid.json")).collect()}
+    at = lambda *points: [[5.0 + 10 * x, 7.0 + 100 * y] for x, y in points]
+    assert got == {
+        ("W", 1, "s", 0, 0): at((1, 0), (1, 1), (0, 1), (0, 0), (1, 0)),
+        ("W", 1, "s", 0, 1): at((0, 0), (1, 0), (1, 1), (0, 0)),
+        ("E", 2, "s", 0, 0): at((1, 0), (2, 0), (2, 1), (1, 1), (1, 0)),
+        ("E", 2, "s", 1, 0): at((0, 0), (1, 1), (1, 0), (0, 0)),
+    }
+    plain = geo.read_topojson_rings(spark, str(tmp_path / "plain.json")).filter("id = 'W' AND ring = 1").first()
+    assert plain.points == [[0.0, 0.0], [1.0, 0.0], [0.0, 1.0], [-1.0, -1.0]]
