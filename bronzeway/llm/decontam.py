@@ -66,7 +66,9 @@ class Index(NamedTuple):
 def build_index(rows: list[tuple], q: int, rate: float) -> Index:
     """``rows``: (id, text). The budget leaves at least one q-gram by the lemma.
 
-    Items of fewer than ``q`` characters have no q-gram and match nothing.
+    So it is ``rate`` of an item's characters, but no more than ``(length - q) // q``: with
+    8 characters and a tenth, items of 40 or more have all of it, one of 30 has two edits
+    in place of three. Items of fewer than ``q`` characters have no q-gram and match nothing.
     """
     kept = [(i, codes(plain(t))) for i, t in rows]
     kept = [(i, c) for i, c in kept if len(c) >= q]

@@ -60,8 +60,9 @@ BANDS = {
     "greek": Band((0.6, 8.0), 0.20, 0.45),
     "other": Band((0.3, 8.0), 1.0, 0.40),
 }
-#: Texts with fewer tokens say too little; only the base rules judge them.
-MIN_TOKENS = 30
+#: Every band is wider by so many tokens' share of the text: the measures of a short text
+#: say little, those of a long one are exact. Set from labelled rows, as the bands are.
+WIDER_TOKENS = 6
 #: Tokens of a block whose entropy is measured; longer texts have equal blocks.
 BLOCK_TOKENS = 512
 
@@ -163,11 +164,13 @@ def fertility(encoding, spelled, text: str | None) -> tuple[int, float, float, f
 def judge(
     text: str | None, lang: str | None, n_tokens: int, chars: float, bytes_only: float, spread: float
 ) -> bool:
-    if n_tokens < MIN_TOKENS:
+    if not n_tokens:
         return True
     band = BANDS.get(lang) or BANDS[script_of(text)]
+    slack = WIDER_TOKENS / n_tokens
     low, high = band.chars_per_token
-    return low <= chars <= high and bytes_only <= band.byte_share and spread >= band.spread
+    fits = low * (1 - slack) <= chars <= high * (1 + slack)
+    return fits and bytes_only <= band.byte_share + slack and spread >= band.spread - slack
 
 
 MEASURES = {
@@ -198,7 +201,8 @@ def measure(
     has zeros, fails the base rules and is not kept. Repeated rows are measured
     each; input columns of the measures' names are replaced. ``kept`` is false
     if ``base_failed``, else true inside the band of the row's language, or of the
-    text's script where ``lang`` is None, NULL or not listed.
+    text's script where ``lang`` is None, NULL or not listed; bands are the wider the
+    fewer tokens a text has. Texts of any length are measured whole; no rows give none.
     """
     keep = [c for c in docs.columns if c not in MEASURES]
     out = with_fields(docs.select(*keep), **MEASURES)

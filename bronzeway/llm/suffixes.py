@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bronzeway.llm.common import mix64, repeated_keys, stored
+from bronzeway.llm.common import fresh, mix64, repeated_keys, stored
 
 LENGTH = 200
 GRAM = 100
@@ -431,6 +431,9 @@ def removed_runs(spans: list[tuple[int, int]], length: int) -> list[tuple[int, i
 RESULT = "short bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept string"
 
 
+RESULT_NAMES = [column.split()[0] for column in RESULT.split(", ")]
+
+
 def remove_repeats(
     docs: DataFrame,
     text: str = "text",
@@ -448,10 +451,10 @@ def remove_repeats(
 
     A NULL text is an empty one. Repeated rows and equal texts repeat each other,
     so texts of at least ``length`` bytes go wholly. Input columns of the added
-    names are replaced, and other columns pass through. Texts are told apart by
-    64-bit hashes: two among a billion are confused with probability 1/37.
+    names are replaced, and other columns pass through, whatever their names. Texts of
+    any length are cut whole; no rows give none. Texts are told apart by 64-bit hashes: two among a billion are confused with probability 1/37.
     """
-    key = "_text_key"
+    key = fresh("text_key", [*docs.columns, *RESULT_NAMES])
     rows = docs.withColumn(key, F.xxhash64(F.coalesce(text, F.lit(""))))
     plain = rows.select(F.col(key).alias("short"), F.coalesce(text, F.lit("")).alias("text"))
     texts = plain.dropDuplicates(["short"])
@@ -470,13 +473,11 @@ def remove_repeats(
                 out.append((short, len(data), n, len(runs), digest, kept.decode(errors="ignore") if runs else value))
             columns = list(zip(*out)) or [()] * 6
             kinds = [pa.int64()] * 4 + [pa.string()] * 2
-            names = ["short", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=RESULT_NAMES)
 
     judged = texts.join(spans, "short", "left").select("short", "text", "spans").mapInArrow(cut, RESULT)
-    added = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
     return (
-        rows.drop(*added)
+        rows.drop(*RESULT_NAMES[1:])
         .join(judged.withColumnRenamed("short", key), key)
         .drop(key)
     )

@@ -216,6 +216,18 @@ def test_repeats_equal_brute_force(spark, limit):
     assert [rows[i] for i in range(len(texts))] == repeated_bytes(texts, 200)
 
 
+def test_repeats_take_clashing_names_and_long_texts(spark):
+    names = ["_text_key", "text_key", "short", "spans", "key", "segment", "who"]
+    rng = random.Random(9)
+    body = " ".join(str(rng.randrange(10**9)) for _ in range(300_000))
+    rows = [(1, body, *names), (2, "own " * 9 + body[1000:2_500_000], *names), (3, None, *names)]
+    ddl = "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names)
+    got = {r.doc_id: r for r in suffixes.remove_repeats(spark.createDataFrame(rows, ddl)).collect()}
+    assert all(tuple(r[n] for n in names) == tuple(names) for r in got.values())
+    assert got[1].n_bytes == len(body) and got[1].n_removed == len(body[1000:2_500_000]) and got[1].n_spans == 1
+    assert got[2].kept == "own " * 9 and got[3].n_bytes == 0
+
+
 def test_repeats_of_no_rows(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert suffixes.remove_repeats(docs).collect() == []

@@ -67,9 +67,12 @@ def test_html_text(spark):
 
 def test_quality(spark, documents):
     rows = {r.doc_id: r for r in QUERIES["op10_quality"](spark, SF_DIR).collect()}
-    for key, text, _ in documents:
+    words = quality._vocabularies(quality.read_model(quality.RANKS), quality.read_model(quality.MODEL))
+    for key, text, lang in documents:
         assert tuple(rows[key][c] for c in list(quality.MEASURES)[:6]) == base_by_hand(text)
-        assert not (rows[key].base_failed and rows[key].kept)
+        fit = quality.fertility(*words, text)
+        assert tuple(rows[key][c] for c in list(quality.MEASURES)[6:10]) == pytest.approx(fit)
+        assert rows[key].kept == (not rows[key].base_failed and quality.judge(text, lang, *fit))
     clean = spark.read.parquet(f"{SF_DIR}/labels.parquet").filter("quality = 1").collect()
     lost = [r.doc_id for r in clean if not rows[r.doc_id].kept and not rows[r.doc_id].base_failed]
     assert lost == []
