@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bronzeway.llm import decontam, jaccard, quality, spm, suffixes
-from bronzeway.llm.common import ready, stored
+from bronzeway.llm.common import fresh, ready, stored
 from bronzeway.sources.tables import read_table
 
 # Tokens and alignments are beyond SQL; the stages are tested against brute force.
@@ -40,9 +40,10 @@ def remove_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no item of ``benchmark``."""
     items = read_table(spark, f"{sf_dir}/benchmark.parquet")
-    keyed = docs.withColumn("_key", F.xxhash64("text"))
-    held = decontam.matches(keyed, items, id="_key").select("_key").distinct()
-    return keyed.join(held, "_key", "left_anti").select(*docs.columns)
+    key = fresh("key", docs.columns)
+    keyed = docs.withColumn(key, F.xxhash64("text"))
+    held = decontam.matches(keyed, items, id=key).select(key).distinct()
+    return keyed.join(held, key, "left_anti").select(*docs.columns)
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
