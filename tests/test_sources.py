@@ -297,8 +297,8 @@ def test_headers_come_from_the_start_of_a_file(spark, tmp_path):
     long = tmp_path / "long.csv"
     with long.open("w") as out:
         out.write("id;uf\n")
-        for _ in range(600):
-            out.write("1;" + "x" * 99_990 + "\n")
+        for _ in range(60_000):
+            out.write("1;" + "x" * 990 + "\n")
     write_csv(tmp_path, "short.csv", ["uf", "id"], ["1", "x"])
     before = bytes_read(spark)
     found = files.deliveries(spark, paths(spark, tmp_path))
