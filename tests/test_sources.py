@@ -304,7 +304,55 @@ def test_headers_come_from_the_start_of_a_file(spark, tmp_path):
     found = files.deliveries(spark, paths(spark, tmp_path))
     assert sorted(d.names for d in found) == [("id", "uf"), ("uf", "id")]
     assert not any(d.empty for d in found)
-    assert long.stat().st_size > 59e6 and bytes_read(spark) - before < 12e6
+    # Nothing by Spark's readers; and by the workers' a piece of each.
+    assert long.stat().st_size > 59e6 and bytes_read(spark) - before < 1e6
+    reads = []
+
+    class Stream:
+        def __init__(self, path):
+            self.file = open(path, "rb")
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *_):
+            self.file.close()
+
+        def read(self, size):
+            reads.append(size)
+            return self.file.read(size)
+
+    import pyarrow as pa
+    from pyarrow import fs
+
+    class System:
+        from_uri = staticmethod(lambda uri: (System, uri.removeprefix("file://")))
+        open_input_stream = staticmethod(Stream)
+
+    with pytest.MonkeyPatch.context() as patched:
+        patched.setattr(fs, "FileSystem", System)
+        run = files._head_reader(";", "latin-1", 64, files.HEAD_BYTES)
+        out = [r for b in run([pa.RecordBatch.from_pylist([{"source": f"file://{long}"}])]) for r in b.to_pylist()]
+    assert out[0]["header"] == "id;uf" and out[0]["has_rows"] and sum(reads) <= 2 * files.HEAD_BYTES
+
+
+@pytest.mark.parametrize("size", [1, 2, 7, 1 << 16])
+def test_starts_of_files_in_any_pieces(spark, tmp_path, monkeypatch, size):
+    monkeypatch.setattr(files, "HEAD_BYTES", size)
+    contents = {
+        "a": b"\xef\xbb\xbfid;S\xe3o\r\n\r\n1;2\r\n", "b": b"id\r1\r", "c": b"\n \nid;u\n\n \n", "d": b"id", "e": b"", "f": b"\r\n",
+        "g": b'id;"a\r\nb"\r\n1;2', "h": b"id\n1",
+    }
+    for name, content in contents.items():
+        (tmp_path / f"{name} %.csv").write_bytes(content)
+    found = {r.source.rsplit("/", 1)[1][0]: (r.header, r.n_lines, r.has_rows) for r in files.heads(spark, paths(spark, tmp_path)).collect()}
+    assert found == {
+        "a": ("id;São", 1, True), "b": ("id", 1, True), "c": ("id;u", 1, False), "d": ("id", 1, False),
+        "g": ('id;"a\nb"', 2, True), "h": ("id", 1, True),
+    }
+    monkeypatch.setattr(files, "OPENED", ())
+    scanned = {r.source.rsplit("/", 1)[1][0]: (r.header, r.n_lines, r.has_rows) for r in files.heads(spark, ["file:" + str(tmp_path)]).collect()}
+    assert {k: v for k, v in scanned.items() if k != "g"} == {k: v for k, v in found.items() if k != "g"}
 
 
 def test_a_header_may_have_line_breaks_in_quotes(spark, tmp_path):
