@@ -13,6 +13,7 @@ import os
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -103,6 +104,55 @@ def build_tokenizer(model: bytes, by_word: bool = False):
     return tokenizer
 
 
+class _Plain(NamedTuple):
+    """A pipeline whose marker is put in and taken out as plain text, a text at a time.
+
+    The library's own steps track every character's place, which nobody asks for here.
+    """
+
+    tokenizer: object
+    prefix: bool
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        start = MARK if self.prefix else ""
+        marked = [text and start + text.replace(" ", MARK) for text in texts]
+        return [e.ids for e in self.tokenizer.encode_batch_fast(marked, add_special_tokens=False)]
+
+    def decode(self, ids: list[list[int]]) -> list[str]:
+        shown = (text.replace(MARK, " ") for text in self.tokenizer.decode_batch(ids, skip_special_tokens=False))
+        return [text.removeprefix(" ") for text in shown] if self.prefix else list(shown)
+
+
+class _Whole(NamedTuple):
+    """A pipeline as it is."""
+
+    tokenizer: object
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def decode(self, ids: list[list[int]]) -> list[str]:
+        return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
+
+
+def _quick(model: bytes, by_word: bool = False) -> _Plain | _Whole:
+    """``build_tokenizer`` with the same ids and texts; where the normaliser only marks
+    spaces, Python does that."""
+    from sentencepiece import sentencepiece_model_pb2
+    from tokenizers import decoders
+
+    tokenizer = build_tokenizer(model, by_word)
+    proto = sentencepiece_model_pb2.ModelProto()
+    proto.ParseFromString(model)
+    spec = proto.normalizer_spec
+    if spec.precompiled_charsmap or spec.remove_extra_whitespaces:
+        return _Whole(tokenizer)
+    fallback = any(p.type == BYTE for p in proto.pieces)
+    tokenizer.normalizer = None
+    tokenizer.decoder = decoders.Sequence(([decoders.ByteFallback()] if fallback else []) + [decoders.Fuse()])
+    return _Plain(tokenizer, spec.add_dummy_prefix)
+
+
 @lru_cache(maxsize=2)
 def _pipelines(model: bytes, threads: int):
     # Read by the library when it first starts its threads in this worker.
@@ -111,8 +161,8 @@ def _pipelines(model: bytes, threads: int):
     import sentencepiece
 
     return (
-        build_tokenizer(model),
-        build_tokenizer(model, by_word=True),
+        _quick(model),
+        _quick(model, by_word=True),
         sentencepiece.SentencePieceProcessor(model_proto=model),
     )
 
@@ -166,10 +216,8 @@ def encode(
                 full = [i for i in at if texts[i] is not None]
                 given = [texts[i] for i in full]
                 long = len(given) == 1 and len(given[0]) > SLICE_CHARS
-                encoded = (worded if long else tokenizer).encode_batch_fast(given, add_special_tokens=False)
-                ids = [e.ids for e in encoded]
-                del encoded
-                back = tokenizer.decode_batch(ids, skip_special_tokens=False)
+                ids = (worded if long else tokenizer).encode(given)
+                back = tokenizer.decode(ids)
                 chosen = [k for k, value in enumerate(given) if _chosen(value, verify_one_in)]
                 expected = original.encode([given[k] for k in chosen], num_threads=1) if chosen else []
                 # Where the ids agree, the original decodes the very same ones.

@@ -230,3 +230,16 @@ def test_every_template_is_found(spark, model):
     got = licences.scan(docs, model).select("family", F.transform("licences", lambda x: x["family"]).alias("found"))
     wrong = [r for r in got.collect() if r.found != [r.family]]
     assert len(wrong) <= 3, wrong
+
+
+def test_marking_spaces_by_hand_gives_the_same_ids():
+    """The public model's normaliser only marks spaces, so the library's needn't run."""
+    model = spm.read_model()
+    plain, words = spm.build_tokenizer(model), spm.build_tokenizer(model, by_word=True)
+    quick, quick_words, _ = spm._pipelines(model, 1)
+    assert isinstance(quick, spm._Plain) and quick.tokenizer.normalizer is None
+    texts = ["", " ", "  a", "a  b ", "▁", "▁ a▁▁ b", "Ação\n\té", "\U0001f600​ x", "a b"]
+    ids = [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
+    assert quick.encode(texts) == ids == quick_words.encode(texts)
+    assert [e.ids for e in words.encode_batch(texts, add_special_tokens=False)] == ids
+    assert quick.decode(ids) == plain.decode_batch(ids, skip_special_tokens=False)
