@@ -9,12 +9,12 @@ share an indexed segment form families, in which all links are verified.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import groupby
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -107,13 +107,19 @@ def shingle_sets(texts: pa.Array, n: int) -> list[np.ndarray]:
     With fewer words the whole sequence is one shingle; without words the set is
     empty, also for NULL.
     """
-    column = texts.cast(pa.large_string()).fill_null("")
+    return list(each_shingle_set(texts, n))
+
+
+def each_shingle_set(texts: pa.Array, n: int) -> Iterator[np.ndarray]:
+    """``shingle_sets`` one after the other: those of about HASHED_BYTES are held at once."""
+    column = texts.cast(pa.large_string())
+    if column.null_count:
+        column = column.fill_null("")
     if not len(column):
-        return []
+        return
     _, offsets, data = column.buffers()
     offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
     data = np.frombuffer(data, np.uint8) if data else np.empty(0, np.uint8)
-    sets: list[np.ndarray] = []
     first = 0
     while first < len(column):
         # Texts of about HASHED_BYTES together; a longer one is alone.
@@ -129,9 +135,8 @@ def shingle_sets(texts: pa.Array, n: int) -> list[np.ndarray]:
         all_windows = _windows(ids, n)
         for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
             found = all_windows[a : b - n + 1] if b - a >= n else _windows(ids[a:b], b - a) if b > a else ids[:0]
-            sets.append(np.unique(found))
+            yield np.unique(found)
         first = last
-    return sets
 
 
 def shingles(text: str | None, n: int) -> np.ndarray:
@@ -226,6 +231,22 @@ def index_keys(tokens: np.ndarray, percent: int) -> np.ndarray:
     return np.unique(np.concatenate(found))
 
 
+def _numbered(sets: list[np.ndarray]) -> np.ndarray:
+    """The shingles of all sets, one set behind the other, as the numbers of distinct ones.
+
+    As ``np.unique`` gives them, with fewer copies at a time.
+    """
+    every = np.concatenate(sets)
+    order = np.argsort(every).astype(np.int32)
+    every = every[order]
+    fresh_ones = np.ones(len(every), np.int32)
+    fresh_ones[1:] = every[1:] != every[:-1]
+    del every
+    numbers = np.empty(len(order), np.int32)
+    numbers[order] = np.cumsum(fresh_ones, dtype=np.int32) - 1
+    return numbers
+
+
 def verify(sets: list[np.ndarray], percent: int, core: np.ndarray | None = None) -> np.ndarray:
     """For each set the position of the first set of its component.
 
@@ -238,13 +259,15 @@ def verify(sets: list[np.ndarray], percent: int, core: np.ndarray | None = None)
     sizes = np.array([len(s) for s in sets], np.int64)
     root = np.full(n, -1, np.int64)
     known = np.zeros(n, bool) if core is None else core
-    owner = np.repeat(np.arange(n), sizes)
-    tokens = np.unique(np.concatenate(sets), return_inverse=True)[1] if len(owner) else owner
+    # Half as wide as positions: a family's blocks have far fewer than 2^31 shingles.
+    owner = np.repeat(np.arange(n, dtype=np.int32), sizes)
+    tokens = _numbered(sets) if len(owner) else owner
     counts = np.bincount(tokens) if len(owner) else np.zeros(0, np.int64)
     shared = counts[tokens] > 1
     owner, tokens = owner[shared], tokens[shared]
-    by_token = np.argsort(tokens, kind="stable")
-    lists, ends = owner[by_token], np.cumsum(np.bincount(tokens, minlength=len(counts)))
+    del shared
+    lists = owner[np.argsort(tokens, kind="stable")]
+    ends = np.cumsum(np.bincount(tokens, minlength=len(counts)))
     starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
     own_end = np.searchsorted(owner, np.arange(n), "right")
     own_start = np.searchsorted(owner, np.arange(n), "left")
@@ -292,7 +315,7 @@ def shared_keys(texts: DataFrame, n: int, percent: int) -> DataFrame:
 
     def make(batch):
         nodes = batch.column("node").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-        for node, tokens in zip(nodes, shingle_sets(batch.column("text"), n)):
+        for node, tokens in zip(nodes, each_shingle_set(batch.column("text"), n)):
             keys = index_keys(tokens, percent) if len(tokens) else tokens
             who = np.empty(len(keys), PAYLOAD)
             who["who"] = node
@@ -362,12 +385,12 @@ def refined_edges(members: DataFrame, keys: DataFrame, n: int, percent: int) ->
 
     def sketched(batches):
         for batch in batches:
-            found = shingle_sets(batch.column("text"), n)
+            found = [(sketch(s), len(s)) for s in each_shingle_set(batch.column("text"), n)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("node"),
-                    pa.array([sketch(s) for s in found], pa.binary()),
-                    pa.array([len(s) for s in found], pa.int64()),
+                    pa.array([told for told, _ in found], pa.binary()),
+                    pa.array([size for _, size in found], pa.int64()),
                 ],
                 names=["who", "sketch", "size"],
             )
@@ -505,7 +528,7 @@ def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
 def _sizes(rows: DataFrame, n: int) -> DataFrame:
     def run(batches):
         for batch in batches:
-            sizes = pa.array([len(s) for s in shingle_sets(batch.column("text"), n)], pa.int64())
+            sizes = pa.array([len(s) for s in each_shingle_set(batch.column("text"), n)], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("node"), sizes], names=["id", "node", "n_shingles"]
             )
@@ -537,11 +560,14 @@ def verified_edges(members: DataFrame, n: int, percent: int) -> DataFrame:
     """
     cut = stored(_blocks(members, "blocks", "own"), "blocks")
 
-    def group(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.drop_duplicates("node")
-        nodes = frame["node"].to_numpy()
-        root = verify(shingle_sets(pa.array(frame["text"], pa.string()), n), percent, frame["core"].to_numpy())
-        return pd.DataFrame({"a": nodes, "b": nodes[root]})
+    def group(table: pa.Table) -> pa.Table:
+        # Only the sets are held while they are compared, and no copy of the texts before.
+        nodes, once = np.unique(table["node"].to_numpy(), return_index=True)
+        core = table["core"].to_numpy()[once]
+        sets = [s for part in table["text"].chunks for s in each_shingle_set(part, n)]
+        del table
+        root = verify([sets[i] for i in once], percent, core)
+        return pa.table({"a": nodes, "b": nodes[root]})
 
     large = cut.filter("blocks > 1")
     order = Window.partitionBy("family").orderBy("node")
@@ -550,7 +576,7 @@ def verified_edges(members: DataFrame, n: int, percent: int) -> DataFrame:
     columns = ["family", "own", "node", "text"]
     dealt = cut.select(*columns).union(sent.select(*columns)).withColumn("core", F.lit(False))
     inside = stored(
-        dealt.repartition("family", "own").groupBy("family", "own").applyInPandas(group, "a bigint, b bigint"),
+        dealt.repartition("family", "own").groupBy("family", "own").applyInArrow(group, "a bigint, b bigint"),
         "linked",
     )
     if large.isEmpty():
@@ -581,5 +607,5 @@ def verified_edges(members: DataFrame, n: int, percent: int) -> DataFrame:
     )
     # The joins above have dealt by family alone: without this all pairs of blocks of
     # a family would be one task's.
-    across = met.repartition("family", "i", "j").groupBy("family", "i", "j").applyInPandas(group, "a bigint, b bigint")
+    across = met.repartition("family", "i", "j").groupBy("family", "i", "j").applyInArrow(group, "a bigint, b bigint")
     return inside.union(across)

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -377,3 +378,22 @@ def test_spans_take_clashing_names_long_texts_and_no_rows(spark):
     assert kept[1].n_removed == 0 and kept[2].kept.startswith("Own start") and len(kept[2].kept) < 400
     assert (kept[3].kept, kept[4].kept) == (None, "")
     assert spans.remove_repeated_spans(spark.createDataFrame([], ddl)).collect() == []
+
+
+def test_verifying_holds_few_copies_of_a_family():
+    import tracemalloc
+
+    sets = [np.arange(i * 4000, (i + 1) * 4000, dtype=np.uint64) for i in range(100)]
+    tracemalloc.start()
+    root = jaccard.verify(sets, 80)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert root.tolist() == list(range(100))
+    # Bytes for each of the shingles; the sets themselves aren't counted.
+    assert peak < 36 * 400_000
+
+
+def test_shingle_sets_come_one_by_one():
+    texts = pa.array(["a b c d e"] * 3 + [None])
+    sets = jaccard.each_shingle_set(texts, 4)
+    assert len(next(sets)) == 2 and [len(s) for s in sets] == [2, 2, 0]
