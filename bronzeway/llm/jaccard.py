@@ -305,8 +305,13 @@ def verify(sets: list[np.ndarray], percent: int, core: np.ndarray | None = None)
 PAYLOAD = np.dtype([("who", "<u8")])
 #: Parts of the universe whose shingles are counted in a sketch.
 SKETCH = 64
-#: Members of a key that are told apart by their sketches in one task; a key with
-#: more keeps them all together.
+#: From this size on chance moves counts by more than linked sets may differ, so a sketch
+#: goes on with four bits of the least shingle in each of so many parts.
+LONG_SET, LEASTS = 512, 128
+#: Linked sets have too few equal ones of these with a chance of at most exp(-SURE), 10^-21.
+SURE = 48.0
+#: Members of a key that are told apart by their sketches at once; those of a key with
+#: more are cut into parts, and every two parts meet.
 KEY_LIMIT = 4096
 
 
@@ -333,14 +338,44 @@ def sketch(tokens: np.ndarray) -> bytes:
     return np.minimum(counts, 255).astype(np.uint8).tobytes()
 
 
-def sketch_groups(sketches: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
+def leasts(tokens: np.ndarray) -> bytes:
+    """Four bits of the least shingle in each of LEASTS parts of the universe; 0 without any.
+
+    Two sets agree on a part with the chance of their similarity.
+    """
+    edges = np.arange(LEASTS, dtype=np.uint64) * np.uint64((1 << 64) // LEASTS)
+    at = np.searchsorted(tokens, edges)
+    there = at < np.append(at[1:], len(tokens))
+    told = np.zeros(LEASTS, np.uint8)
+    told[there] = 1 + mix64(tokens[at[there]]) % np.uint64(15)
+    return (told[::2] << 4 | told[1::2]).tobytes()
+
+
+@lru_cache(maxsize=128)
+def least_agreeing(percent: int) -> int:
+    """How many parts linked sets agree on, but for a chance of at most exp(-SURE)."""
+    p = percent / 100
+
+    def rarity(n: int) -> float:
+        # Chernoff's bound: n or fewer of LEASTS, each with a chance of p.
+        q = n / LEASTS
+        return LEASTS * sum(x * math.log(x / y) if x else 0 for x, y in ((q, p), (1 - q, 1 - p))) if p < 1 else math.inf
+
+    return max((n + 1 for n in range(LEASTS) if n < p * LEASTS and rarity(n) >= SURE), default=0)
+
+
+def sketch_groups(
+    sketches: np.ndarray, sizes: np.ndarray, percent: int, parts: np.ndarray | None = None
+) -> np.ndarray:
     """For each set the first one that it may be linked with, directly or over others.
 
-    Linked sets differ in few shingles, so their sketches differ by no more.
+    Linked sets differ in few shingles, so their sketches differ by no more. ``parts``
+    has what ``leasts`` tells of the sets of LONG_SET shingles or more.
     """
     n = len(sizes)
     root = np.full(n, -1, np.int64)
     wide = sketches.astype(np.int16)
+    long_ = sizes >= LONG_SET if parts is not None else np.zeros(n, bool)
     for first in range(n):
         if root[first] >= 0:
             continue
@@ -353,6 +388,9 @@ def sketch_groups(sketches: np.ndarray, sizes: np.ndarray, percent: int) -> np.n
                 break
             apart = np.abs(wide[left] - wide[u]).sum(axis=1)
             near = left[apart * (100 + percent) <= (sizes[left] + sizes[u]) * (100 - percent)]
+            if long_[u]:
+                agree = (parts[near] == parts[u]).sum(axis=1)
+                near = near[(agree >= least_agreeing(percent)) | ~long_[near]]
             root[near] = first
             front.extend(near.tolist())
     return root
@@ -378,14 +416,15 @@ def member_sets(keys: DataFrame) -> DataFrame:
 def refined_edges(members: DataFrame, keys: DataFrame, n: int, percent: int) -> DataFrame:
     """(a, b) of the members of each key whose sketches allow a link.
 
-    ``members`` has node and text, ``keys`` distinct key and who. Of keys with more than
-    KEY_LIMIT members all hang together. A member has an edge to the first that it may
-    be linked with.
+    ``members`` has node and text, ``keys`` distinct key and who. Members of a key with
+    more than KEY_LIMIT are cut into parts by hash, and every two parts meet in a group of
+    their own. A member has an edge to the first of a group that it may be linked with.
     """
 
     def sketched(batches):
         for batch in batches:
-            found = [(sketch(s), len(s)) for s in each_shingle_set(batch.column("text"), n)]
+            sets = each_shingle_set(batch.column("text"), n)
+            found = [(sketch(s) + (leasts(s) if len(s) >= LONG_SET else b""), len(s)) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("node"),
@@ -398,19 +437,19 @@ def refined_edges(members: DataFrame, keys: DataFrame, n: int, percent: int) ->
     sketches = members.select("node", "text").mapInArrow(
         sketched, "who bigint, sketch binary, size bigint"
     )
-    per_key = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("who").alias("least"))
-    large = keys.join(per_key.filter(F.col("n") > KEY_LIMIT), "key").select(
-        F.col("who").alias("a"), F.col("least").alias("b")
-    )
-    small = keys.join(per_key.filter(F.col("n") <= KEY_LIMIT).select("key"), "key", "left_semi")
+    parts = F.when(F.col("n") > KEY_LIMIT, F.ceil(F.col("n") * 2 / KEY_LIMIT)).otherwise(1).cast("int")
+    per_key = keys.groupBy("key").agg(F.count("*").alias("n")).select("key", parts.alias("parts"))
 
     def split(batches):
         held: list[tuple] = []
 
         def edges(rows):
             who = np.array([r[1] for r in rows], np.int64)
-            table = np.frombuffer(b"".join(r[2] for r in rows), np.uint8).reshape(-1, SKETCH)
-            root = sketch_groups(table, np.array([r[3] for r in rows], np.int64), percent)
+            table = np.frombuffer(b"".join(r[2][:SKETCH] for r in rows), np.uint8).reshape(-1, SKETCH)
+            packed = b"".join(r[2][SKETCH:] or bytes(LEASTS // 2) for r in rows)
+            pairs = np.frombuffer(packed, np.uint8).reshape(len(rows), -1)
+            told = np.concatenate([pairs >> 4, pairs & 15], axis=1)
+            root = sketch_groups(table, np.array([r[3] for r in rows], np.int64), percent, told)
             apart = np.flatnonzero(root != np.arange(len(rows)))
             return np.column_stack([who[apart], who[root[apart]]])
 
@@ -420,15 +459,25 @@ def refined_edges(members: DataFrame, keys: DataFrame, n: int, percent: int) ->
             return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
         for batch in batches:
-            held += zip(*(batch.column(c).to_pylist() for c in ("key", "who", "sketch", "size")))
-            # The last key may go on in the next batch.
+            key, i, j, *rest = (batch.column(c).to_pylist() for c in batch.schema.names)
+            held += zip(zip(key, i, j), *rest)
+            # The last group may go on in the next batch.
             last = next((i for i in range(len(held), 0, -1) if held[i - 1][0] != held[-1][0]), 0)
             yield all_edges(_runs(held[:last]))
             held = held[last:]
         yield all_edges(_runs(held))
 
-    dealt = small.join(sketches, "who").repartition("key").sortWithinPartitions("key", "who")
-    return dealt.select("key", "who", "sketch", "size").mapInArrow(split, "a bigint, b bigint").union(large)
+    own = F.pmod(F.xxhash64("who"), F.col("parts")).cast("int")
+    met = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    dealt = (
+        keys.join(per_key, "key").join(sketches, "who")
+        .select("*", own.alias("own"), met.alias("other"))
+        .filter("own <> other OR parts = 1")
+        .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "who", "sketch", "size")
+        .repartition("key", "i", "j")
+        .sortWithinPartitions("key", "i", "j", "who")
+    )
+    return dealt.mapInArrow(split, "a bigint, b bigint")
 
 
 def _runs(rows: list[tuple]) -> list[list[tuple]]:

@@ -1,5 +1,6 @@
 """Jaccard join, suffix dedup and sentence spans against brute force."""
 
+import math
 import random
 
 import numpy as np
@@ -147,6 +148,52 @@ def test_a_known_core_is_one_component(sets, percent, draw):
             assert (root[i] == root[j]) == (parent[i] == parent[j])
 
 
+def near_and_far_sets(size, n=12, share=0.85, seed=7):
+    """Sets without common shingles; every other one has a linked set behind it."""
+    draw = np.random.default_rng(seed)
+    found = []
+    for i in range(n):
+        own = draw.integers(1 << 63, size=size, dtype=np.uint64) << np.uint64(1)
+        found.append(np.unique(own))
+        if i % 2:
+            kept = int(size * 2 * share / (1 + share)) + 1
+            rest = draw.integers(1 << 63, size=size - kept, dtype=np.uint64) << np.uint64(1)
+            found.append(np.unique(np.concatenate([own[:kept], rest])))
+    return found
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+@pytest.mark.parametrize("size", [600, 4000, 60000])
+def test_long_unlike_sets_are_told_apart(size, percent):
+    sets = near_and_far_sets(size, share=percent / 100 + 0.002)
+    table = np.frombuffer(b"".join(map(jaccard.sketch, sets)), np.uint8).reshape(-1, jaccard.SKETCH)
+    packed = np.frombuffer(b"".join(map(jaccard.leasts, sets)), np.uint8).reshape(len(sets), -1)
+    parts = np.concatenate([packed >> 4, packed & 15], axis=1)
+    root = jaccard.sketch_groups(table, np.array([len(s) for s in sets]), percent, parts).tolist()
+    assert root == jaccard.verify(sets, percent).tolist()
+    assert len(set(root)) == 12 and len(root) == 18
+
+
+def test_linked_sets_agree_on_enough_parts():
+    for percent in (40, 50, 80, 85, 99, 100):
+        least, p = jaccard.least_agreeing(percent), percent / 100
+        missed = sum(math.comb(jaccard.LEASTS, i) * p**i * (1 - p) ** (jaccard.LEASTS - i) for i in range(least))
+        assert missed < 1e-20
+    assert jaccard.least_agreeing(80) > 40 and jaccard.least_agreeing(100) == jaccard.LEASTS
+
+
+@pytest.mark.parametrize("limit, words", [(4096, 3000), (2, 3000), (2, 30)])
+def test_unlike_texts_of_a_key_make_no_family(spark, monkeypatch, limit, words):
+    monkeypatch.setattr(jaccard, "KEY_LIMIT", limit)
+    rng = random.Random(5)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(words)) for _ in range(7)]
+    texts.append(" ".join([*texts[3].split()[:-1], "other"]))
+    members = spark.createDataFrame(list(enumerate(texts)), "node long, text string")
+    keys = spark.createDataFrame([(1, i) for i in range(8)], "key long, who long")
+    edges = jaccard.refined_edges(members, keys, 5, 80).distinct().collect()
+    assert sorted(tuple(r) for r in edges) == [(7, 3)]
+
+
 def test_one_set_of_texts_counts_once(spark):
     entries = [(k, w) for k in range(50) for w in (3, 5, 8)] + [(60, 3), (60, 5), (61, 9), (61, 9), (62, 3), (62, 5)]
     # Copies of a text have all its keys.
