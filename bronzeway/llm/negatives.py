@@ -9,6 +9,7 @@ that remain all rows are scored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -27,6 +28,9 @@ LEAF_ROWS = 4096
 SAMPLE = 8192
 #: Rows of a block, the part of a leaf that a task scores at once.
 BLOCK_ROWS = 8192
+#: Rows at most of the blocks that an anchor is sent to together, and how many such groups
+#: there should be.
+GROUP_ROWS, GROUPS = 1 << 18, 64
 #: Anchors that travel together, and those scored at once.
 QUERY_ROWS, SCORED = 2048, 256
 #: Components are kept whole up to this size.
@@ -218,17 +222,31 @@ def surviving(
 
 
 class Index(NamedTuple):
-    """All rows as blocks of leaves, the tree and what is known of its leaves."""
+    """All rows as blocks of leaves, the tree and what is known of its leaves.
+
+    ``groups`` has the group of every chunk of a leaf.
+    """
 
     blocks: DataFrame
     tree: Tree
     low: np.ndarray
     high: np.ndarray
-    chunks: dict[int, int]
+    groups: dict[int, list[int]]
     dim: int
     top: float
 
 
+def grouped(counts: dict[int, int]) -> dict[int, list[int]]:
+    """The group of every chunk of each leaf: chunks of BLOCK_ROWS, neighbours together."""
+    share = min(GROUP_ROWS, max(LEAF_ROWS, -(-sum(counts.values()) // GROUPS)))
+    found, start = {}, 0
+    for leaf, n in sorted(counts.items()):
+        chunks = -(-n // BLOCK_ROWS)
+        found[leaf] = [(start + n * i // chunks) // share for i in range(chunks)]
+        start += n
+    return found
+
+
 def build(rows: DataFrame) -> Index | None:
     """Index of rows (id, label, vec); rows equal in all three count once. None without rows."""
 
@@ -286,9 +304,10 @@ def build(rows: DataFrame) -> Index | None:
     ):
         low[r.slot], high[r.slot] = r.low, r.high
     counts = placed.groupBy("leaf").agg(F.count("*").alias("n")).collect()
-    chunks = {r.leaf: -(-r.n // BLOCK_ROWS) for r in counts}
+    groups = grouped({r.leaf: r.n for r in counts})
     # A leaf that most rows are in is cut by the ids' hashes.
-    parts = F.get(F.from_json(F.lit(str([chunks.get(i, 1) for i in range(tree.leaves)])), "array<int>"), F.col("leaf"))
+    chunks = [len(groups.get(i, "1")) for i in range(tree.leaves)]
+    parts = F.get(F.from_json(F.lit(str(chunks)), "array<int>"), F.col("leaf"))
     dealt = (
         placed.withColumn("chunk", F.pmod(F.xxhash64("id"), parts).cast("int"))
         .repartition("leaf", "chunk")
@@ -300,29 +319,29 @@ def build(rows: DataFrame) -> Index | None:
         for batch in batches:
             for leaf, chunk, *row in zip(*(batch.column(c).to_pylist() for c in ("leaf", "chunk", "id", "label", "vec"))):
                 if held and (key != (leaf, chunk) or len(held) == BLOCK_ROWS):
-                    yield block(key, held, dim)
+                    yield block(groups[key[0]][key[1]], key[0], held, dim)
                     held = []
                 if key == (leaf, chunk) and row == last:
                     continue
                 key, last = (leaf, chunk), row
                 held.append(row)
         if held:
-            yield block(key, held, dim)
+            yield block(groups[key[0]][key[1]], key[0], held, dim)
 
     blocks = dealt.select("leaf", "chunk", "id", "label", "vec").mapInArrow(
-        pack, "leaf int, chunk int, ids binary, labels binary, vecs binary"
+        pack, "part int, leaf int, ids binary, labels binary, vecs binary"
     )
-    return Index(stored(blocks, "blocks"), tree, low, high, chunks, dim, top)
+    return Index(stored(blocks, "blocks"), tree, low, high, groups, dim, top)
 
 
-def block(key: tuple[int, int], rows: list[list], dim: int) -> pa.RecordBatch:
+def block(part: int, leaf: int, rows: list[list], dim: int) -> pa.RecordBatch:
     ids = np.array([LAST if r[0] is None else r[0] for r in rows], "<i8")
     labels = np.array([r[1] for r in rows], "<i8")
     vecs = unpacked([r[2] for r in rows], dim)
-    made = [[key[0]], [key[1]], [ids.tobytes()], [labels.tobytes()], [packed(vecs.ravel())]]
+    made = [[part], [leaf], [ids.tobytes()], [labels.tobytes()], [packed(vecs.ravel())]]
     kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
     return pa.RecordBatch.from_arrays(
-        [pa.array(v, t) for v, t in zip(made, kinds)], names=["leaf", "chunk", "ids", "labels", "vecs"]
+        [pa.array(v, t) for v, t in zip(made, kinds)], names=["part", "leaf", "ids", "labels", "vecs"]
     )
 
 
@@ -332,15 +351,61 @@ def annulus(scores: np.ndarray, squares: np.ndarray, top: float, slack: float) -
         return np.sqrt(np.maximum(squares[:, None] + top - 2 * scores, 0)) + slack
 
 
+class Best:
+    """The first k rows so far in every window of anchors, by score and then id."""
+
+    def __init__(self, lows: np.ndarray, highs: np.ndarray, k: int):
+        self.lows, self.highs, self.k = lows.copy(), highs, k
+        self.found: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+
+    def add(self, i: int, scores: np.ndarray, ids: np.ndarray, allowed: np.ndarray) -> None:
+        """Rows of a block for anchor i; a full window asks for its last score at least."""
+        lows, highs = self.lows[i], self.highs[i]
+        there = np.flatnonzero(allowed & (scores >= lows.min()) & (scores <= highs.max()))
+        if not len(there):
+            return
+        scores, ids = scores[there], ids[there]
+        for w in range(len(lows)):
+            at = np.flatnonzero((scores >= lows[w]) & (scores <= highs[w]))
+            if not len(at):
+                continue
+            if len(at) > self.k:
+                at = at[scores[at] >= np.partition(scores[at], -self.k)[-self.k]]
+            s, r = scores[at], ids[at]
+            if (i, w) in self.found:
+                s, r = (np.concatenate(both) for both in zip(self.found[i, w], (s, r)))
+            order = np.lexsort((r, -s))[: self.k]
+            self.found[i, w] = s[order], r[order]
+            if len(order) == self.k:
+                lows[w] = s[order[-1]]
+
+    def rows(self, q: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if not self.found:
+            return
+        sizes = [len(s) for s, _ in self.found.values()]
+        anchors, windows = np.repeat(np.array(list(self.found)), sizes, axis=0).T
+        scores, ids = (np.concatenate(c) for c in zip(*self.found.values()))
+        # 2.0 ** 63 itself isn't a long.
+        whole = np.clip(scores, -(2.0**63), np.nextafter(2.0**63, 0)).astype(np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(q[anchors]), pa.array(windows, pa.int32()), pa.array(whole), pa.array(ids, mask=ids == LAST)],
+            names=["q", "w", "score", "id"],
+        )
+
+
 def search(index: Index, queries: DataFrame, k: int, same: bool, home: bool) -> DataFrame:
-    """(q, w, score, id): the first k rows in every window of every query, by block.
+    """(q, w, score, id): the first k rows in every window of every query, by group of blocks.
 
     ``queries`` has q, id, label, vec and ``lows`` and ``highs``, the scores of its
     windows. ``same`` asks for rows of the query's label, the query itself left out,
     else for those of others. Looks only at the leaf of the query, or, if not
     ``home``, only at all others whose ranges allow a row.
+
+    Queries go once to each group of blocks that has a leaf for them, so what moves is
+    their number times that of the groups. A task holds the blocks of a group, some
+    queries at a time, and the first rows of these.
     """
-    _, tree, low, high, chunks, dim, top = index
+    _, tree, low, high, groups, dim, top = index
     fields = ["q", "id", "label", "vec", "lows", "highs"]
     # Rounding of distances stays far below this.
     slack = 1e-6 * (1 + top**0.5)
@@ -370,9 +435,13 @@ def search(index: Index, queries: DataFrame, k: int, same: bool, home: bool) ->
                         (leaf, at[own[at] != leaf])
                         for leaf, at in surviving(tree, low, high, lifted_up, near, far)
                     ]
+                to: dict[int, list[tuple[int, np.ndarray]]] = {}
                 for leaf, at in targets:
-                    if not len(at) or leaf not in chunks:
-                        continue
+                    for part in set(groups.get(leaf, ())) if len(at) else ():
+                        to.setdefault(part, []).append((leaf, at))
+                for part, asked in to.items():
+                    at = np.unique(np.concatenate([a for _, a in asked]))
+                    marks = np.array([np.isin(at, a) for _, a in asked])
                     payload = [
                         np.array([rows[0][i] for i in at], "<i8").tobytes(),
                         np.array([LAST if rows[1][i] is None else rows[1][i] for i in at], "<i8").tobytes(),
@@ -380,54 +449,58 @@ def search(index: Index, queries: DataFrame, k: int, same: bool, home: bool) ->
                         packed(plain[at].ravel()),
                         lows[at].tobytes(),
                         highs[at].tobytes(),
+                        np.array([leaf for leaf, _ in asked], "<i4").tobytes(),
+                        np.packbits(marks, axis=1).tobytes(),
                     ]
-                    for chunk in range(chunks[leaf]):
-                        made = [pa.array([leaf], pa.int32()), pa.array([chunk], pa.int32())]
-                        made += [pa.array([p], pa.binary()) for p in payload]
-                        yield pa.RecordBatch.from_arrays(made, names=["leaf", "chunk", *(f"q_{c}" for c in fields)])
+                    made = [pa.array([part], pa.int32()), *(pa.array([p], pa.binary()) for p in payload)]
+                    yield pa.RecordBatch.from_arrays(made, names=["part", *(f"q_{c}" for c in sent_fields)])
 
-    columns = ", ".join(f"q_{c} binary" for c in fields)
-    asked = queries.select(*fields).mapInArrow(sent, f"leaf int, chunk int, {columns}")
-    pairs = index.blocks.join(asked, ["leaf", "chunk"])
+    sent_fields = [*fields, "leaves", "marks"]
+    columns = ", ".join(f"q_{c} binary" for c in sent_fields)
+    asked = queries.select(*fields).mapInArrow(sent, f"part int, {columns}")
+    # Small as the file of the queries may be, what is sent is not, so it is never broadcast.
+    # A join by sorting holds the blocks of a group, and one row of queries after the other.
+    pairs = asked.hint("merge").join(index.blocks.hint("merge"), "part")
 
     def matrix(data, width):
         return np.frombuffer(data, "<i2" if data[:1] == b"h" else "<f8", offset=1).reshape(-1, width).astype(float)
 
     def scored(batches):
+        key, best = None, None
         for batch in batches:
-            for row in batch.to_pylist():
+            for n in range(batch.num_rows):
+                row = {c: batch.column(c)[n].as_py() for c in ("part", "leaf", "ids", "labels", "vecs", "q_q")}
+                if best is None or key != (row["part"], row["q_q"]):
+                    if best is not None:
+                        yield from best.rows(q)
+                    key = row["part"], row["q_q"]
+                    told = {c: batch.column(f"q_{c}")[n].as_py() for c in sent_fields}
+                    q, own, kinds = (np.frombuffer(told[c], "<i8") for c in ("q", "id", "label"))
+                    queried = matrix(told["vec"], dim) if dim else np.zeros((len(q), 0))
+                    best = Best(*(np.frombuffer(told[c], "<f8").reshape(len(q), -1) for c in ("lows", "highs")), k)
+                    leaves = np.frombuffer(told["leaves"], "<i4").tolist()
+                    bits = np.frombuffer(told["marks"], np.uint8).reshape(len(leaves), -1)
+                    marks = np.unpackbits(bits, axis=1, count=len(q)).astype(bool)
+                if row["leaf"] not in leaves:
+                    continue
+                here = np.flatnonzero(marks[leaves.index(row["leaf"])])
                 ids, labels = (np.frombuffer(row[c], "<i8") for c in ("ids", "labels"))
                 vecs = matrix(row["vecs"], dim) if dim else np.zeros((len(ids), 0))
-                q, own, kinds = (np.frombuffer(row[f"q_{c}"], "<i8") for c in ("q", "id", "label"))
-                asked = matrix(row["q_vec"], dim) if dim else np.zeros((len(q), 0))
-                lows, highs = (np.frombuffer(row[f"q_{c}"], "<f8").reshape(len(q), -1) for c in ("lows", "highs"))
-                out = []
-                for start in range(0, len(q), SCORED):
-                    scores = asked[start : start + SCORED] @ vecs.T
-                    for i, s in enumerate(scores, start):
-                        allowed = (labels == kinds[i]) == same
+                fits = {kind: (labels == kind) == same for kind in np.unique(kinds[here]).tolist()}
+                for start in range(0, len(here), SCORED):
+                    some = here[start : start + SCORED]
+                    for i, scores in zip(some.tolist(), queried[some] @ vecs.T):
+                        allowed = fits[int(kinds[i])]
                         if same:
-                            for j in np.flatnonzero(allowed & (ids == own[i])):
-                                allowed[j] = not (vecs[j] == asked[i]).all()
-                        found = np.flatnonzero(allowed & (s >= lows[i].min()) & (s <= highs[i].max()))
-                        for w in range(lows.shape[1]):
-                            at = found[(s[found] >= lows[i, w]) & (s[found] <= highs[i, w])]
-                            if len(at) > k:
-                                at = at[s[at] >= np.partition(s[at], -k)[-k]]
-                            # A block's rows ascend by id.
-                            at = at[np.argsort(-s[at], kind="stable")][:k]
-                            if len(at):
-                                out.append((np.full(len(at), q[i]), np.full(len(at), w), s[at], ids[at]))
-                if out:
-                    q_, w_, s_, i_ = (np.concatenate(c) for c in zip(*out))
-                    # 2.0 ** 63 itself isn't a long.
-                    whole = np.clip(s_, -(2.0**63), np.nextafter(2.0**63, 0)).astype(np.int64)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(q_), pa.array(w_, pa.int32()), pa.array(whole), pa.array(i_, mask=i_ == LAST)],
-                        names=["q", "w", "score", "id"],
-                    )
-
-    return pairs.drop("leaf", "chunk").mapInArrow(scored, "q bigint, w int, score bigint, id bigint")
+                            itself = [j for j in np.flatnonzero(ids == own[i]) if allowed[j] and (vecs[j] == queried[i]).all()]
+                            if itself:
+                                allowed = allowed.copy()
+                                allowed[itself] = False
+                        best.add(i, scores, ids, allowed)
+        if best is not None:
+            yield from best.rows(q)
+
+    return pairs.mapInArrow(scored, "q bigint, w int, score bigint, id bigint")
 
 
 def _first(found: DataFrame, k: int) -> DataFrame:
@@ -445,7 +518,7 @@ def nearest(index: Index, queries: DataFrame, k: int, same: bool) -> DataFrame:
     full = own.filter(F.col("rank") == k).groupBy("q").agg(
         F.map_from_entries(F.collect_list(F.struct("w", F.col("score").cast("double").alias("score")))).alias("kth")
     )
-    narrowed = queries.join(full, "q", "left").withColumn(
+    narrowed = queries.join(full.hint("merge"), "q", "left").withColumn(
         "lows", F.transform("lows", lambda low, w: F.greatest(low, F.try_element_at("kth", w)))
     )
     rest = search(index, narrowed, k, same, home=False)
@@ -500,10 +573,10 @@ def hard_negatives(
             )
         ).alias("windows")
     ).select("q", F.col("windows.low").alias("lows"), F.col("windows.high").alias("highs"))
-    found = nearest(index, anchors.join(windows, "q"), negatives, same=False)
+    found = nearest(index, anchors.join(windows.hint("merge"), "q"), negatives, same=False)
     return (
         found.select("q", "w", "rank", F.col("id").alias("negative_id"), F.col("score").alias("negative_score"))
-        .join(near, ["q", "w"])
-        .join(anchors.select("q", F.col("id").alias("anchor_id")), "q")
+        .join(near.hint("merge"), ["q", "w"])
+        .join(anchors.select("q", F.col("id").alias("anchor_id")).hint("merge"), "q")
         .select("anchor_id", "positive_id", F.col("rank").cast("int").alias("rank"), "negative_id", "positive_score", "negative_score")
     )

@@ -72,6 +72,35 @@ def test_blocks_of_one_leaf(spark, monkeypatch):
     assert mined(spark, rows) == by_hand(rows)
 
 
+@pytest.mark.parametrize("group_rows, groups", [(1 << 18, 1), (40, 64), (1, 64)])
+def test_any_groups(spark, monkeypatch, group_rows, groups):
+    for name, value in (("GROUP_ROWS", group_rows), ("GROUPS", groups), ("LEAF_ROWS", 20), ("BLOCK_ROWS", 30), ("QUERY_ROWS", 7)):
+        monkeypatch.setattr(negatives, name, value)
+    rows = vectors(300, 4, 5) + [(1000 + i, [0.5, 0.25, 0, 0], i % 3) for i in range(120)]
+    assert mined(spark, rows, 20) == by_hand(rows, 20)
+
+
+def test_chunks_are_grouped():
+    counts = {3: 20_000, 0: 5, 7: 300_000}
+    found = negatives.grouped(counts)
+    assert {leaf: len(parts) for leaf, parts in found.items()} == {0: 1, 3: 3, 7: 37}
+    everything = [part for leaf in sorted(found) for part in found[leaf]]
+    assert everything == sorted(everything) and 30 < len(set(everything)) <= negatives.GROUPS
+    assert max(p for parts in negatives.grouped({i: 4096 for i in range(4096)}).values() for p in parts) == 63
+
+
+def test_what_is_sent_is_no_broadcast(spark):
+    rows = vectors(200, 4, 6)
+    df = spark.createDataFrame([(i, [float(x) for x in v], y) for i, v, y in rows], DDL)
+    prepared = negatives.prepared(df, "embedding", "vec_id", F.col("label"), F.col("vec_id") % 10 == 0)
+    index = negatives.build(prepared)
+    near, far = (F.array(F.lit(float(x))) for x in ("-inf", "inf"))
+    queries = prepared.filter("anchor").select(F.col("id").alias("q"), "id", "label", "vec", near.alias("lows"), far.alias("highs"))
+    for home in (True, False):
+        plan = negatives.search(index, queries, 5, True, home)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
