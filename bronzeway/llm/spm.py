@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import os
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 from itertools import chain
 from typing import NamedTuple
@@ -104,7 +105,31 @@ def build_tokenizer(model: bytes, by_word: bool = False):
     return tokenizer
 
 
-class _Plain(NamedTuple):
+class _Ids(NamedTuple):
+    ids: list[int]
+
+
+class _Many:
+    """Lists of texts and of their ids; with the library's flag, which must be off, one
+    text and its ids, as the library's tokenizers take them."""
+
+    def encode(self, given, add_special_tokens: bool | None = None):
+        if add_special_tokens is None:
+            return self.encode_all(given)
+        if add_special_tokens:
+            raise ValueError("texts are encoded without special tokens")
+        return _Ids(self.encode_all([given])[0])
+
+    def decode(self, ids, skip_special_tokens: bool | None = None):
+        if skip_special_tokens is None:
+            return self.decode_all(ids)
+        if skip_special_tokens:
+            raise ValueError("special tokens are decoded like others")
+        return self.decode_all([ids])[0]
+
+
+@dataclass(frozen=True)
+class _Plain(_Many):
     """A pipeline whose marker is put in and taken out as plain text, a text at a time.
 
     The library's own steps track every character's place, which nobody asks for here.
@@ -113,25 +138,26 @@ class _Plain(NamedTuple):
     tokenizer: object
     prefix: bool
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def encode_all(self, texts: list[str]) -> list[list[int]]:
         start = MARK if self.prefix else ""
         marked = [text and start + text.replace(" ", MARK) for text in texts]
         return [e.ids for e in self.tokenizer.encode_batch_fast(marked, add_special_tokens=False)]
 
-    def decode(self, ids: list[list[int]]) -> list[str]:
+    def decode_all(self, ids: list[list[int]]) -> list[str]:
         shown = (text.replace(MARK, " ") for text in self.tokenizer.decode_batch(ids, skip_special_tokens=False))
         return [text.removeprefix(" ") for text in shown] if self.prefix else list(shown)
 
 
-class _Whole(NamedTuple):
+@dataclass(frozen=True)
+class _Whole(_Many):
     """A pipeline as it is."""
 
     tokenizer: object
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def encode_all(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def decode(self, ids: list[list[int]]) -> list[str]:
+    def decode_all(self, ids: list[list[int]]) -> list[str]:
         return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
 
 
